@@ -1,0 +1,158 @@
+"""Text and money cleaning: edge rows with known results, in both ANSI settings."""
+
+import math
+import random
+
+import pytest
+from conftest import column_values, plan_of, texts, write_out
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from washline.functions import round_half_even
+from washline.functions.fixed_values import WHITESPACE
+from washline.operators import digits_only, parse_currency, strip_specials, trim_strings
+
+E_ACUTE, DOTTED_I = chr(0xE9), chr(0x130)
+
+
+def test_strip_specials(spark, any_ansi):
+    df = texts(spark, [f"A-b_c {DOTTED_I}!{E_ACUTE} ", "ST-79#", "a\tb\nc d", "", None])
+    assert column_values(strip_specials(df, "x"), "x") == ["Abc", "ST79", "abcd", "", None]
+    assert column_values(strip_specials(df, "x", keep_space=True), "x") == [
+        "Abc  ",
+        "ST79",
+        "abc d",
+        "",
+        None,
+    ]
+
+
+def test_strip_specials_keeps_exactly_its_alphabet(spark):
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    df = spark.range(1, 0x3000).select(
+        F.col("id").cast("int").alias("row"), F.expr("char(id % 256)").alias("low")
+    )
+    every = texts(spark, [chr(c) for c in range(1, 0x3000)])
+    kept = {v for v in column_values(strip_specials(every, "x"), "x") if v}
+    assert kept == set(alphabet)
+    kept = {v for v in column_values(strip_specials(every, "x", keep_space=True), "x") if v}
+    assert kept == set(alphabet) | {" "}
+    assert df.count() == 0x2FFF
+
+
+def test_strip_specials_accepts_numbers(spark):
+    df = spark.createDataFrame([(0, 12)], "row int, x long")
+    assert column_values(strip_specials(df, "x"), "x") == ["12"]
+
+
+def test_digits_only(spark, any_ansi):
+    df = texts(spark, ["P1616?", "-3", "12.5", "1e3", "n/a", None, chr(0x663)])
+    assert column_values(digits_only(df, "x"), "x") == ["1616", "3", "125", "13", "", None, ""]
+
+
+def test_column_names_with_dots_and_backticks(spark):
+    df = texts(spark, ["a-b"], name="a.1").withColumn("q`t", F.lit(" c "))
+    out = trim_strings(strip_specials(df, "a.1"), "q`t").collect()[0]
+    assert out["a.1"] == "ab" and out["q`t"] == "c"
+
+
+@pytest.mark.parametrize(
+    "text, amount",
+    [
+        ("$1,234.5678", 1234.57),
+        ("$1,234.50", 1234.5),
+        (" 1.5 ", 1.5),
+        ("$ 5", 5.0),
+        ("1e3", 1000.0),
+        ("-$12.345", -12.34),
+        ("+.5", 0.5),
+        ("7.", 7.0),
+        (chr(0xA0) + "$3" + chr(0x3000), 3.0),
+        ("inf", math.inf),
+        ("-Infinity", -math.inf),
+        (None, None),
+    ],
+)
+def test_parse_currency(spark, any_ansi, text, amount):
+    assert column_values(parse_currency(texts(spark, [text]), "x"), "x") == [
+        amount
+    ]
+
+
+def test_parse_currency_nan(spark, any_ansi):
+    assert math.isnan(column_values(parse_currency(texts(spark, ["NaN"]), "x"), "x")[0])
+
+
+BAD_MONEY = ["", "abc", "(5)", "1_000", "1.5d", "1.5f", "0x1p3", ".", "1 5", "--1", "$", "e5", "5\n6"]
+
+
+@pytest.mark.parametrize("text", BAD_MONEY)
+def test_bad_money_is_an_error(spark, any_ansi, text):
+    with pytest.raises(PySparkException, match="column x holds text that is no amount of money"):
+        write_out(parse_currency(texts(spark, ["$1", text]), "x"))
+
+
+def test_bad_money_is_null_when_coerced(spark, any_ansi):
+    out = parse_currency(texts(spark, BAD_MONEY), "x", mode="coerce")
+    assert column_values(out, "x") == [None] * len(BAD_MONEY)
+
+
+def test_unknown_mode_is_refused(spark):
+    with pytest.raises(ValueError, match="mode must be"):
+        parse_currency(texts(spark, ["1"]), "x", mode="ignore")
+
+
+def test_round_half_even(spark, any_ansi):
+    given = [2.675, 1.005, 0.125, 0.375, 2.5, 1.115, -0.125, 1234.565, 0.285]
+    wanted = [2.68, 1.0, 0.12, 0.38, 2.5, 1.12, -0.12, 1234.56, 0.28]
+    df = spark.createDataFrame(list(enumerate(given)), "row int, x double")
+    assert column_values(df.withColumn("x", round_half_even(F.col("x"))), "x") == wanted
+
+
+def test_round_half_even_other_scales(spark):
+    df = spark.createDataFrame([(0, 0.5), (1, 1.5), (2, 2.5)], "row int, x double")
+    assert column_values(df.withColumn("x", round_half_even(F.col("x"), 0)), "x") == [0.0, 2.0, 2.0]
+
+
+def test_trim_all_white_space(spark, any_ansi):
+    inner = f"a{WHITESPACE}b"
+    given = [f"{c}{c}{inner}{c}" for c in WHITESPACE] + [WHITESPACE, "", None, " \t a \n"]
+    wanted = [inner] * len(WHITESPACE) + ["", "", None, "a"]
+    assert column_values(trim_strings(texts(spark, given)), "x") == wanted
+    assert len(WHITESPACE) == 29
+
+
+def test_trim_picks_text_columns_only(spark):
+    df = texts(spark, [" a "]).withColumn("n", F.lit(1)).withColumn("y", F.lit(" b"))
+    out = trim_strings(df)
+    assert [f.dataType.simpleString() for f in out.schema] == ["int", "string", "int", "string"]
+    assert tuple(out.collect()[0]) == (0, "a", 1, "b")
+    assert trim_strings(df.select("n")).collect()[0][0] == 1
+
+
+def test_cleaners_are_idempotent(spark):
+    rng = random.Random(7)
+    letters = "aZ09 -$,.#\t\n" + chr(0xA0) + E_ACUTE + chr(0x1F600)
+    df = texts(spark, ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(500)])
+    for clean in (
+        lambda d: strip_specials(d, "x"),
+        lambda d: strip_specials(d, "x", keep_space=True),
+        lambda d: digits_only(d, "x"),
+        trim_strings,
+        lambda d: parse_currency(d, "x", mode="coerce"),
+    ):
+        once = clean(df)
+        assert column_values(once, "x") == column_values(clean(once), "x")
+
+
+def test_trim_agrees_with_python(spark):
+    rng = random.Random(8)
+    letters = WHITESPACE + "ab" + chr(0x200B) + chr(0xFEFF)
+    given = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(2000)]
+    assert column_values(trim_strings(texts(spark, given)), "x") == [t.strip() for t in given]
+
+
+def test_cleaning_is_narrow_and_in_the_jvm(spark):
+    df = spark.range(10).selectExpr("cast(id as string) x", "cast(id as string) y")
+    plan = plan_of(trim_strings(parse_currency(strip_specials(df, "y"), "x")))
+    assert "Exchange" not in plan and "Python" not in plan

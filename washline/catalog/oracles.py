@@ -168,6 +168,13 @@ def oracle_sql() -> dict[str, str]:
         """,
         "take_branch": f"select * from ({ROUTED}) where branch = 'odd_hour'",
         "merge_branches": ROUTED,
+        "change_branches": f"""
+            select case when branch = 'odd_hour' then -event_id else event_id end as event_id,
+                   branch, ts,
+                   case branch when 'even_hour' then (hour(ts) // 2)::int
+                               when 'odd_hour' then ((hour(ts) - 1) // 2)::int end as half
+            from ({ROUTED})
+        """,
         "row_index": """
             select row_number() over (order by ts, event_id) - 1 as "index", * from events
         """,

@@ -21,6 +21,7 @@ from washline.functions import (
 from washline.functions.fixed_values import MISSING_TEXT
 from washline.operators import (
     apply_types,
+    change_branches,
     digits_only,
     hour_parity_rules,
     merge_branches,
@@ -223,6 +224,15 @@ def merged_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def changed_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hour = hour_of(F.col("ts"))
+    changes = {
+        "even_hour": {"half": (hour / 2).cast("int")},
+        "odd_hour": {"half": ((hour - 1) / 2).cast("int"), "event_id": -F.col("event_id")},
+    }
+    return change_branches(routed(spark, sf_dir), changes)
+
+
 # --- index, checksums, preview, profile -------------------------------------------------------
 
 
@@ -431,6 +441,7 @@ def queries() -> dict[str, Query]:
         "route_all_matches": routed_all_matches,
         "take_branch": one_branch,
         "merge_branches": merged_branches,
+        "change_branches": changed_branches,
         "row_index": row_index,
         "row_checksum": checksums,
         "row_checksum_pages": page_checksums,

@@ -5,6 +5,7 @@ from washline.operators.convert import to_bigint, to_double, to_text, to_timesta
 from washline.operators.missing import normalize_nulls
 from washline.operators.profile import apply_types, profile_types
 from washline.operators.routing import (
+    change_branches,
     hour_parity_rules,
     merge_branches,
     route,
@@ -15,6 +16,7 @@ from washline.operators.row_index import with_row_index
 
 __all__ = [
     "apply_types",
+    "change_branches",
     "digits_only",
     "hour_parity_rules",
     "merge_branches",

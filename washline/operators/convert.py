@@ -20,11 +20,15 @@ def _type_of(df: DataFrame, name: str) -> T.DataType:
 def to_text(
     df: DataFrame, cols: str | Iterable[str], null_token: str | None = None
 ) -> DataFrame:
-    """Cast to text; with `null_token`, missing values become that text."""
+    """Cast to text; with `null_token`, missing values (null, NaN) become that text."""
 
     def text(c: str) -> Column:
         value = column(c).cast("string")
-        return value if null_token is None else F.coalesce(value, F.lit(null_token))
+        if null_token is None:
+            return value
+        if isinstance(_type_of(df, c), (T.FloatType, T.DoubleType)):
+            value = F.when(~F.isnan(column(c)), value)
+        return F.coalesce(value, F.lit(null_token))
 
     return df.withColumns({c: text(c) for c in as_list(cols)})
 

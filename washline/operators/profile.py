@@ -6,12 +6,13 @@ shuffle stays small, whatever the data size.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from washline.functions import parse_bigint, parse_double
+from washline.functions import parse_bigint, parse_double, raise_if_unparsed
 from washline.functions.fixed_values import FALSE_TOKENS, TRUE_TOKENS
 from washline.functions.parsing import DECIMAL, INFINITY, WHOLE_NUMBER
 from washline.names import column, string_columns
@@ -72,22 +73,32 @@ def profile_types(df: DataFrame) -> DataFrame:
     return counts.withColumn("inferred", inferred)
 
 
-def apply_types(df: DataFrame, profile: DataFrame | dict[str, str]) -> DataFrame:
-    """Cast text columns to the types of a profile (a few rows: one per column)."""
-    if isinstance(profile, DataFrame):
-        profile = inferred_types(profile)
-    typed = {}
-    for name, dtype in profile.items():
+def apply_types(
+    df: DataFrame, profile: DataFrame | Mapping[str, str], mode: str = "raise"
+) -> DataFrame:
+    """Cast text columns to the types of a profile (a few rows: one per column).
+
+    A profile of the same data fits by construction.  Where it is older than the data, a text
+    that does not fit is an error, or null with mode='coerce'.
+    """
+    types = inferred_types(profile) if isinstance(profile, DataFrame) else profile
+
+    def typed(name: str, dtype: str) -> Column:
         text = column(name)
         if dtype == "bigint":
-            typed[name] = parse_bigint(text)
+            value = parse_bigint(text)
         elif dtype == "double":
-            typed[name] = parse_double(text)
+            value = parse_double(text)
         elif dtype == "boolean":
-            typed[name] = F.when(text.isin(*TRUE_TOKENS), True).when(
-                text.isin(*FALSE_TOKENS), False
-            )
-    return df.withColumns(typed) if typed else df
+            value = F.when(text.isin(*TRUE_TOKENS), True).when(text.isin(*FALSE_TOKENS), False)
+        else:
+            raise ValueError(f"type of column {name} must be one of the profile's, not {dtype!r}")
+        return raise_if_unparsed(
+            value, text.isNotNull(), f"column {name} holds text that is no {dtype}", mode
+        )
+
+    changes = {name: typed(name, t) for name, t in types.items() if t != "string"}
+    return df.withColumns(changes) if changes else df
 
 
 def inferred_types(profile: DataFrame) -> dict[str, str]:

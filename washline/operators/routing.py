@@ -57,8 +57,8 @@ def take_branch(routed: DataFrame, name: str) -> DataFrame:
 def merge_branches(branches: Mapping[str, DataFrame], keep_branch: bool = True) -> DataFrame:
     """All rows of all branches, duplicates kept.
 
-    Each branch reads its own input.  Branches that only differ in expressions are cheaper as
-    one routed table with those expressions chosen by `branch`.
+    Each branch reads its own input, so this suits branches from different places.  For branches
+    of one routed table, `change_branches` gives the merged result in a single pass.
     """
     if not branches:
         raise ValueError("merge_branches needs at least one branch")
@@ -67,14 +67,37 @@ def merge_branches(branches: Mapping[str, DataFrame], keep_branch: bool = True)
     return merged if keep_branch else merged.drop("branch")
 
 
-def hour_parity_rules(ts: str = "ts", literal: bool = False) -> tuple[dict[str, Column], list[str]]:
+def change_branches(
+    routed: DataFrame, changes: Mapping[str, Mapping[str, Column]]
+) -> DataFrame:
+    """Per-branch work and merge in one pass: `changes` maps branch to {column: expression}.
+
+    Rows of other branches keep their value, or get null in a column that did not exist.
+    """
+    names = dict.fromkeys(name for change in changes.values() for name in change)
+    columns = {}
+    for name in names:
+        value = column(name) if name in routed.columns else F.lit(None)
+        for branch, change in changes.items():
+            if name in change:
+                value = F.when(F.col("branch") == branch, change[name]).otherwise(value)
+        columns[name] = value
+    return routed.withColumns(columns)
+
+
+def hour_parity_rules(
+    ts: str | Column = "ts", literal: bool = False
+) -> tuple[dict[str, Column], list[str]]:
     """Rules and default for routing by the parity of a timestamp's hour.
 
+    `ts` is a column, or an expression such as `current_timestamp()` to route by the time of
+    the run; it is evaluated when the query runs.
+
     `literal=False`: even and odd hours to their branch, rows without a time to none_hour.
     `literal=True` keeps the tests of the original rule, remainder 2 and remainder 3, which
     no hour can meet, so every row goes to both none_hour and odd_hour.
     """
-    remainder = modulo(hour_of(column(ts)), 2)
+    remainder = modulo(hour_of(column(ts) if isinstance(ts, str) else ts), 2)
     even, odd = (2, 3) if literal else (0, 1)
     default = ["none_hour", "odd_hour"] if literal else ["none_hour"]
     return {"even_hour": remainder == even, "odd_hour": remainder == odd}, default

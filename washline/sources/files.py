@@ -1,11 +1,14 @@
 """Files as rows: listing, checksums, landing byte for byte.
 
 Every file is one row handled by one task, spread over executors by size.  The binary file
-source refuses files above 2 GB, so a file is never cut.
+source refuses files above 2 GB, so a file is never cut.  Names that start with a dot or an
+underscore count as hidden.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,28 @@ from washline.functions import sha256_hex
 
 
 def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
-    return (
+    """path, length, modificationTime, content of all files, the empty ones included.
+
+    Scans leave files of length 0 out, though the listing knows them: they are the listed names
+    that the scan does not give.  Their modification time is null.
+    """
+    scanned = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(path)
     )
+    # Listed names are URLs: decoded, and without an empty authority, they equal `path`.
+    names = [unquote(url).replace(":///", ":/", 1) for url in scanned.inputFiles()]
+    listed = spark.createDataFrame([(name,) for name in names], "path string")
+    empty = listed.join(scanned.select("path"), "path", "left_anti")
+    return scanned.unionByName(
+        empty.select(
+            "path",
+            F.lit(None).cast("timestamp").alias("modificationTime"),
+            F.lit(0).cast("bigint").alias("length"),
+            F.lit(b"").alias("content"),
+        )
+    )
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
