@@ -21,6 +21,7 @@ def spark():
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")
         .config("spark.driver.memory", "4g")
     )
     for key, value in RECOMMENDED.items():

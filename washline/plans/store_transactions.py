@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from washline.functions.fixed_values import MISSING_TEXT
-from washline.names import string_columns
+from washline.names import column, string_columns
 from washline.operators.clean import digits_only, parse_currency, strip_specials, trim_strings
 from washline.operators.convert import to_bigint, to_double, to_text, to_timestamp_fmt
 
@@ -31,8 +32,10 @@ def clean_store_transactions(
     df = strip_specials(df, NAMES, keep_space=True)
     df = digits_only(df, PRODUCT)
     df = parse_currency(df, MONEY, mode=mode)
-    # The code and the product number hold no white space any more.
-    df = trim_strings(df, [c for c in string_columns(df) if c not in (CODE, PRODUCT)])
+    # By now the code and the product number hold no white space and the names only plain spaces,
+    # which the plain trim removes faster.
+    df = df.withColumns({c: F.trim(column(c)) for c in NAMES})
+    df = trim_strings(df, [c for c in string_columns(df) if c not in (CODE, PRODUCT, *NAMES)])
     df = to_text(df, [CODE, *NAMES], MISSING_TEXT if parity else None)
     df = to_bigint(df, PRODUCT)
     df = to_double(df, MONEY)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameReader
@@ -66,6 +66,42 @@ def read_header(spark: SparkSession, path: str, options: Mapping[str, str]) -> l
     return dedupe_header(first, case_sensitive)
 
 
+def _plain_row(sep: str, width: int) -> str:
+    """Pattern of a row of at most `width` fields, each quoted as a whole or free of quotes.
+
+    Nearly all rows are of this kind, and one match without backtracking clears them.
+    """
+    field = rf'(?:(?:"[^"]*+")++|[^"{re.escape(sep)}]*+)'
+    return rf"^{field}(?:{re.escape(sep)}{field}){{0,{width - 1}}}+\z"
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def _breaks_in_quotes(line: Column, sep: str) -> Column:
+    """Whether a field opens a quote that the line does not close."""
+    return (_quotes(line) % 2 == 1) & line.rlike("(^|" + re.escape(sep) + ')"')
+
+
+def _too_wide(line: Column, width: int, options: Mapping[str, str]) -> Column:
+    """Whether a row has more than `width` fields.
+
+    Without quotes the separators tell the width; with quotes they only bound it.  The rare row
+    above the bound is parsed again: a mark put at its end must show up within the first fields.
+    """
+    sep = options["sep"]
+    separators = (F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))) / len(sep)
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
+    parsed = F.from_csv(F.concat(line, F.lit(sep + END_MARK)), schema, dict(options))
+    return (
+        F.when(line.isNull() | F.col(SURPLUS).isNotNull(), True)
+        .when(separators < width, False)
+        .when(_quotes(line) == 0, True)
+        .otherwise(~parsed.cast("string").contains(END_MARK))
+    )
+
+
 def read_lines_checked(
     reader: DataFrameReader | DataStreamReader,
     path: str,
@@ -88,44 +124,22 @@ def read_lines_checked(
         .csv(path)
     )
     line, sep = F.col(LINE), options["sep"]
-
-    # Without quotes the separators tell the width.  With quotes they only bound it, and the
-    # rare row above the bound is parsed again: a mark put at its end must show up within the
-    # first `width` fields, else the row is too wide.
-    separators = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))
-    separators = separators if len(sep) == 1 else (separators / len(sep)).cast("int")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    numbered = [f"c{i}" for i in range(width + 1)]
-    ended = F.from_csv(
-        F.concat(line, F.lit(sep + END_MARK)),
-        ", ".join(f"{c} string" for c in numbered),
-        dict(options),
-    )
-    mark_found = ended.cast("string").contains(END_MARK)
-    too_wide = (
-        F.when(line.isNull() | F.col(SURPLUS).isNotNull(), True)
-        .when(separators < width, False)
-        .when(quotes == 0, True)
-        .otherwise(~F.coalesce(mark_found, F.lit(False)))
-    )
-    broken = F.lit(False)
-    if options["multiLine"] != "true":
-        opens_quote = line.rlike('(^|' + re.escape(sep) + ')"')
-        broken = (quotes % 2 == 1) & opens_quote
-
-    shown = F.coalesce(line, column(names[0]))
+    plain = line.rlike(_plain_row(sep, width)) if len(sep) == 1 else F.lit(False)
     checked = (
-        F.when(
-            broken,
+        F.when(plain, True)
+        .when(
+            _breaks_in_quotes(line, sep) if options["multiLine"] != "true" else F.lit(False),
             F.raise_error(
-                F.concat(F.lit("line break inside quotes, read with multiline=True: "), shown)
+                F.concat(F.lit("line break inside quotes, read with multiline=True: "), line)
             ).cast("boolean"),
         )
         .when(
-            too_wide,
-            F.raise_error(F.concat(F.lit(f"more than {width} fields in row: "), shown)).cast(
-                "boolean"
-            ),
+            _too_wide(line, width, options),
+            F.raise_error(
+                F.concat(
+                    F.lit(f"more than {width} fields in row: "), F.coalesce(line, column(names[0]))
+                )
+            ).cast("boolean"),
         )
         .otherwise(True)
     )
