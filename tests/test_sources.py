@@ -312,18 +312,41 @@ def test_landing(spark, folder, tmp_path):
     assert all(r["ok"] for r in verify_landing(spark, str(folder), landing).collect())
 
 
-def test_verification_finds_every_change(spark, folder, tmp_path):
+@pytest.mark.parametrize("rehash", [False, True])
+def test_verification_finds_every_change(spark, folder, tmp_path, rehash):
     landing = str(tmp_path / "landing")
-    out = land_and_verify(spark, str(folder), landing).collect()
+    out = land_and_verify(spark, str(folder), landing, rehash_source=rehash).collect()
     assert len(out) == 12 and all(r["ok"] for r in out)
+    assert {r["path"]: (r["length"], r["sha256"]) for r in out} == on_disk(folder)
     (folder / "f3.bin").write_bytes(b"x" * 3000)  # same length, other bytes
     (folder / "f4.bin").write_bytes(b"")
     (folder / "f5.bin").unlink()
     (folder / "new.bin").write_bytes(b"new")
     spark.catalog.refreshByPath(str(folder))
-    out = {r["path"].rsplit("/", 1)[1]: r["ok"] for r in verify_landing(spark, str(folder), landing).collect()}
-    assert {n for n, ok in out.items() if not ok} == {"f3.bin", "f4.bin", "f5.bin", "new.bin"}
-    assert len(out) == 13
+    out = verify_landing(spark, str(folder), landing, rehash_source=rehash).collect()
+    bad = {r["path"].rsplit("/", 1)[1] for r in out if not r["ok"]}
+    assert bad == {"f3.bin", "f4.bin", "f5.bin", "new.bin"} and len(out) == 13
+
+
+def test_rehashing_sees_through_a_kept_time(spark, folder, tmp_path):
+    landing = str(tmp_path / "landing")
+    land_files(spark, str(folder), landing)
+    changed = folder / "f3.bin"
+    times = changed.stat()
+    changed.write_bytes(b"y" * 3000)
+    os.utime(changed, ns=(times.st_atime_ns, times.st_mtime_ns))
+    by_listing = verify_landing(spark, str(folder), landing).collect()
+    assert all(r["ok"] for r in by_listing)
+    by_hash = verify_landing(spark, str(folder), landing, rehash_source=True).collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in by_hash if not r["ok"]] == ["f3.bin"]
+
+
+def test_damaged_landing_is_found(spark, folder, tmp_path):
+    good, landing = str(tmp_path / "good"), str(tmp_path / "landing")
+    broken = F.when(F.col("path").endswith("f7.bin"), F.lit(b"z")).otherwise(F.col("content"))
+    land_files(spark, str(folder), good).withColumn("content", broken).write.parquet(landing)
+    out = verify_landing(spark, str(folder), landing).collect()
+    assert [r["path"].rsplit("/", 1)[1] for r in out if not r["ok"]] == ["f7.bin"]
 
 
 def test_probe(spark, csv_file, tmp_path):

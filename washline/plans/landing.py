@@ -6,42 +6,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from washline.functions import sha256_hex
-from washline.sources.files import file_checksums, land_files
+from washline.sources.files import file_checksums, land_files, list_files
 
 
 def verify_landing(
-    spark: SparkSession, src_dir: str, landing: str, recursive: bool = False
+    spark: SparkSession,
+    src_dir: str,
+    landing: str,
+    recursive: bool = False,
+    rehash_source: bool = False,
 ) -> DataFrame:
     """path, length, sha256, ok for every file on either side.
 
-    Hashes the source files and the landed bytes anew. A file that is missing on one side, or
-    differs, or does not match the checksum noted when it landed, has ok=false.
+    Hashes the landed bytes anew and compares them with the checksum taken from the source when
+    it landed, and with the source's listing now.  A file that is missing on one side, or whose
+    length, time or bytes differ, has ok=false.  The listing costs no content read; with
+    `rehash_source` the source is read and hashed again as well.
     """
-    source = file_checksums(spark, src_dir, recursive).select(
-        "path", F.col("length").alias("src_length"), F.col("sha256").alias("src_sha256")
+    source = list_files(spark, src_dir, recursive).select(
+        "path",
+        F.col("length").alias("src_length"),
+        F.col("modificationTime").alias("src_time"),
     )
     landed = spark.read.parquet(landing).select(
         "path",
         F.octet_length("content").cast("bigint").alias("length"),
+        "modificationTime",
         sha256_hex(F.col("content")).alias("sha256"),
         F.col("sha256").alias("noted_sha256"),
     )
     same = (
         (F.col("src_length") == F.col("length"))
-        & (F.col("src_sha256") == F.col("sha256"))
+        & F.col("src_time").eqNullSafe(F.col("modificationTime"))
         & (F.col("noted_sha256") == F.col("sha256"))
     )
-    return source.join(landed, "path", "full_outer").select(
+    both = source.join(landed, "path", "full_outer")
+    if rehash_source:
+        hashes = file_checksums(spark, src_dir, recursive)
+        both = both.join(hashes.select("path", F.col("sha256").alias("src_sha256")), "path", "left")
+        same = same & (F.col("src_sha256") == F.col("sha256"))
+    return both.select(
         "path",
         F.coalesce("length", "src_length").alias("length"),
-        F.coalesce("sha256", "src_sha256").alias("sha256"),
+        "sha256",
         F.coalesce(same, F.lit(False)).alias("ok"),
     )
 
 
 def land_and_verify(
-    spark: SparkSession, src_dir: str, landing: str, recursive: bool = False
+    spark: SparkSession,
+    src_dir: str,
+    landing: str,
+    recursive: bool = False,
+    rehash_source: bool = False,
 ) -> DataFrame:
     """Land the files of a directory, then verify every one of them."""
     land_files(spark, src_dir, landing, recursive)
-    return verify_landing(spark, src_dir, landing, recursive)
+    return verify_landing(spark, src_dir, landing, recursive, rehash_source)

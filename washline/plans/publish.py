@@ -16,6 +16,8 @@ from washline.sinks.csv import write_object_csv
 from washline.sinks.preview import preview
 from washline.sources.csv import read_csv_table, read_object_csv
 
+ROWS_PER_UNSPLITTABLE_FILE = 100_000
+
 
 def store_csv(
     spark: SparkSession,
@@ -37,7 +39,11 @@ def store_csv(
     types = {c: "string" for c in text.columns}
     if candidates:
         types |= inferred_types(profile_types(text.select(*[f"`{c}`" for c in candidates])))
-    write_object_csv(apply_types(text, types), root, bucket, key)
+    # Files with line breaks in quotes cannot be split, so many of them keep readers parallel.
+    per_file = ROWS_PER_UNSPLITTABLE_FILE if how.get("multiline") else 0
+    write_object_csv(
+        apply_types(text, types), root, bucket, key, max_records_per_file=per_file
+    )
     return types
 
 

@@ -57,11 +57,15 @@ def land_files(
 ) -> DataFrame:
     """Copy the files of a directory into a landing table, replacing what was there.
 
-    One row per file: path, length, content, sha256.  Row groups are closed by size after every
+    One row per file: path, length, modificationTime, content, sha256.  Row groups are closed by size after every
     row, so a task holds few file contents at a time.
     """
     copied = _files(spark, src_dir, recursive).select(
-        "path", "length", "content", sha256_hex(F.col("content")).alias("sha256")
+        "path",
+        "length",
+        "modificationTime",
+        "content",
+        sha256_hex(F.col("content")).alias("sha256"),
     )
     writer = copied.write.mode("overwrite")
     for check in ("parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
