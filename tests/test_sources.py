@@ -64,8 +64,20 @@ def test_read_types_and_missing_values(spark, any_ansi, csv_file):
     ]
 
 
-def test_line_ends_and_byte_order_mark(spark, csv_file):
-    assert rows(read_csv_table(spark, csv_file("\ufeffa,b\r\n1,2\r\n"))) == [(1, 2)]
+@pytest.mark.parametrize("multiline", [False, True])
+def test_line_ends_and_byte_order_mark(spark, csv_file, multiline):
+    for text in ("\ufeffa,b\r\n1,2\r\n", '\ufeff"a",b\n1,2'):
+        df = read_csv_table(spark, csv_file(text), multiline=multiline)
+        assert df.columns == ["a", "b"] and rows(df) == [(1, 2)]
+
+
+@pytest.mark.parametrize("sep", [";", "\t", "|", "^", "]", "-", "\\", "x", "\x01"])
+def test_separators(spark, csv_file, sep):
+    lines = [f"a{sep}b", f'"p{sep}q"{sep}2', f"{sep}3", '5" z']
+    df = read_csv_table(spark, csv_file("\n".join(lines) + "\n"), sep=sep, typed=False)
+    assert rows(df) == sorted([(f"p{sep}q", "2"), (None, "3"), ('5" z', None)], key=repr)
+    with pytest.raises(PySparkException, match="more than 2 fields"):
+        write_out(read_csv_table(spark, csv_file(f"a{sep}b\n1{sep}2{sep}3\n"), sep=sep, typed=False))
 
 
 def test_columns_and_key(spark, csv_file):

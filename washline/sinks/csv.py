@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from washline.sources.csv import object_path
+from washline.sources.csv import object_path, spark_sep
 
 
 def write_object_csv(
@@ -28,7 +28,7 @@ def write_object_csv(
         df.write.mode("overwrite")
         .options(
             header="true",
-            sep=sep,
+            sep=spark_sep(sep),
             quote='"',
             escape='"',
             nullValue="",

@@ -27,8 +27,18 @@ LINE = "__line"
 END_MARK = "\x01end\x01"
 
 
+def spark_sep(sep: str) -> str:
+    """A separator as Spark's option wants it, where a backslash starts an escape."""
+    return sep.replace("\\", "\\\\")
+
+
 def csv_options(sep: str, multiline: bool, line_sep: str | None) -> dict[str, str]:
-    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": str(multiline).lower()}
+    options = {
+        "sep": spark_sep(sep),
+        "quote": '"',
+        "escape": '"',
+        "multiLine": str(multiline).lower(),
+    }
     if line_sep is not None:
         options["lineSep"] = line_sep
     return options
@@ -84,13 +94,12 @@ def _breaks_in_quotes(line: Column, sep: str) -> Column:
     return (_quotes(line) % 2 == 1) & line.rlike("(^|" + re.escape(sep) + ')"')
 
 
-def _too_wide(line: Column, width: int, options: Mapping[str, str]) -> Column:
+def _too_wide(line: Column, width: int, sep: str, options: Mapping[str, str]) -> Column:
     """Whether a row has more than `width` fields.
 
     Without quotes the separators tell the width; with quotes they only bound it.  The rare row
     above the bound is parsed again: a mark put at its end must show up within the first fields.
     """
-    sep = options["sep"]
     separators = (F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))) / len(sep)
     schema = ", ".join(f"c{i} string" for i in range(width + 1))
     parsed = F.from_csv(F.concat(line, F.lit(sep + END_MARK)), schema, dict(options))
@@ -106,6 +115,7 @@ def read_lines_checked(
     reader: DataFrameReader | DataStreamReader,
     path: str,
     names: list[str],
+    sep: str,
     options: Mapping[str, str],
 ) -> DataFrame:
     """All columns as text, with the row checks; the same for batch and stream readers.
@@ -123,7 +133,7 @@ def read_lines_checked(
         .option("columnPruning", "false")
         .csv(path)
     )
-    line, sep = F.col(LINE), options["sep"]
+    line = F.col(LINE)
     plain = line.rlike(_plain_row(sep, width)) if len(sep) == 1 else F.lit(False)
     checked = (
         F.when(plain, True)
@@ -134,7 +144,7 @@ def read_lines_checked(
             ).cast("boolean"),
         )
         .when(
-            _too_wide(line, width, options),
+            _too_wide(line, width, sep, options),
             F.raise_error(
                 F.concat(
                     F.lit(f"more than {width} fields in row: "), F.coalesce(line, column(names[0]))
@@ -171,7 +181,7 @@ def read_csv_table(
     """
     options = csv_options(sep, multiline, line_sep)
     names = read_header(spark, path, options)
-    df = read_lines_checked(spark.read, path, names, options)
+    df = read_lines_checked(spark.read, path, names, sep, options)
     if columns is not None:
         wanted = list(columns)
         unknown = [c for c in wanted if c not in names]

@@ -45,7 +45,8 @@ def ingest_stream(
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = read_lines_checked(reader, landing, names, csv_options(sep, multiline, line_sep))
+    options = csv_options(sep, multiline, line_sep)
+    rows = read_lines_checked(reader, landing, names, sep, options)
     tokens = tuple(na_tokens)
     if tokens:
         rows = normalize_nulls(rows, tokens)
