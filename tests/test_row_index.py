@@ -71,6 +71,19 @@ def test_columns_that_cannot_be_hashed(spark):
     check_dense(with_row_index(df, "id"), 5, ["id"])
 
 
+def test_number_of_partitions_follows_the_input(spark, monkeypatch):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    assert row_index._partitions_for(events) == 8
+    monkeypatch.setattr(row_index, "INPUT_PER_PARTITION", 1000)
+    by_size = row_index._partitions_for(events)
+    assert by_size > 8
+    joined = events.join(events.withColumnRenamed("ts", "t"), "event_id")
+    assert by_size < row_index._partitions_for(joined) <= 2 * by_size
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "id long")
+    assert row_index._partitions_for(unknown) == 8
+    check_dense(with_row_index(events, "event_id"), 1000, ["event_id"])
+
+
 def test_own_name_and_arguments(spark):
     out = with_row_index(spark.range(3), "id", name="place")
     assert out.columns == ["place", "id"]

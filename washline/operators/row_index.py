@@ -13,7 +13,9 @@ from washline.names import as_list, column
 from washline.staging import staging_path
 
 POSITION_BITS = 33  # monotonically_increasing_id keeps the position in its lower 33 bits
-MAX_PARTITIONS = 1_000_000  # keeps the broadcast offset table below 16 MB
+MAX_PARTITIONS = 1_000_000  # keeps the broadcast offset table at 16 MB of numbers
+INPUT_PER_PARTITION = 1 << 30
+UNKNOWN_SIZE = 1 << 60  # Spark states huge sizes for inputs it knows nothing about
 
 
 def with_row_index(
@@ -24,6 +26,9 @@ def with_row_index(
 ) -> DataFrame:
     """Add the row's 0-based place in the order of `order_by` as a bigint, as first column.
 
+    `partitions` is the number of range partitions, by default one per GB of input and at least
+    `spark.sql.shuffle.partitions`.
+
     1. Range-partition and sort by the order, then number the rows inside each partition.
     2. Write that once to the shared staging folder.  Both later reads see the same partitions,
        also after lost executors, which re-running a sampled range partitioning cannot promise.
@@ -38,7 +43,7 @@ def with_row_index(
     if not order:
         raise ValueError("with_row_index needs an order: file order is not defined in Spark")
     spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = _partitions_for(df) if partitions is None else partitions
     if not 1 <= count <= MAX_PARTITIONS:
         raise ValueError(f"partitions must be between 1 and {MAX_PARTITIONS}")
 
@@ -74,6 +79,16 @@ def with_row_index(
     )
 
 
+def _partitions_for(df: DataFrame) -> int:
+    """Enough range partitions for the size of the plan's inputs, as the optimizer states it."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    inputs = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(inputs.apply(i).stats().sizeInBytes())) for i in range(inputs.size()))
+    if size >= UNKNOWN_SIZE:
+        return least
+    return min(MAX_PARTITIONS, max(least, size // INPUT_PER_PARTITION + 1))
+
+
 def _holds_map(dtype: T.DataType) -> bool:
     """Maps (also nested) can neither be hashed nor compared."""
     if isinstance(dtype, T.StructType):

@@ -57,8 +57,8 @@ def land_files(
 ) -> DataFrame:
     """Copy the files of a directory into a landing table, replacing what was there.
 
-    One row per file: path, length, modificationTime, content, sha256.  Row groups are closed by size after every
-    row, so a task holds few file contents at a time.
+    One row per file: path, length, modificationTime, content, sha256.  The size of a row group
+    is looked at after every row, so a task holds few file contents at a time.
     """
     copied = _files(spark, src_dir, recursive).select(
         "path",

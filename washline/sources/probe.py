@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,17 +35,22 @@ def classify_read_error(error: BaseException) -> tuple[str, str]:
     return "error", name
 
 
-def probe_source(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+def probe_source(
+    spark: SparkSession, paths: Iterable[str], at_once: int = 16
+) -> DataFrame:
     """path, status (ok, missing, denied, error) and error_class, one row per given path.
 
-    Lists each path and reads one line of it. The `read_*` functions do not go through this:
-    they raise.
+    Lists each path and reads one line of it, `at_once` paths at a time. The `read_*` functions
+    do not go through this: they raise.
     """
-    rows = []
-    for path in paths:
+
+    def probe(path: str) -> tuple[str, str, str | None]:
         try:
             spark.read.text(path).head(1)
-            rows.append((path, "ok", None))
         except Exception as error:  # the point is to report every kind of failure
-            rows.append((path, *classify_read_error(error)))
+            return (path, *classify_read_error(error))
+        return path, "ok", None
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        rows = list(pool.map(probe, paths))
     return spark.createDataFrame(rows, "path string, status string, error_class string")
