@@ -92,24 +92,34 @@ def test_bad_dates(spark, any_ansi, text):
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Kathmandu"])
-def test_dates_know_no_time_zone(spark, zone):
-    """2018-11-04 00:00 and 2019-02-17 do not exist, or exist twice, in one of the zones."""
+@pytest.mark.parametrize("kind", ["TIMESTAMP_LTZ", "TIMESTAMP_NTZ"])
+def test_dates_know_no_time_zone(spark, any_ansi, zone, kind):
+    """2018-11-04 00:00 does not exist, and 2018-02-17 23:00 exists twice, in Sao Paulo."""
     spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set("spark.sql.timestampType", kind)
     try:
         df = texts(spark, ["2018-11-04", "2018-02-18", "1900-01-01"])
         wanted = [dt.datetime(2018, 11, 4), dt.datetime(2018, 2, 18), dt.datetime(1900, 1, 1)]
         assert column_values(to_timestamp_fmt(df, "x"), "x") == wanted
         assert column_values(to_timestamp_fmt(df, "x", fmt="yyyy-MM-dd"), "x") == wanted
-        df = texts(spark, ["04/11/2018 00:30", "", "NaT"])
-        wanted = [dt.datetime(2018, 11, 4, 0, 30), None, None]
+        df = texts(spark, ["04/11/2018 00:30", "", "NaT", "17/02/2018 23:15"])
+        wanted = [dt.datetime(2018, 11, 4, 0, 30), None, None, dt.datetime(2018, 2, 17, 23, 15)]
         assert column_values(to_timestamp_fmt(df, "x", fmt="dd/MM/yyyy HH:mm"), "x") == wanted
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.unset("spark.sql.timestampType")
 
 
-def test_bad_date_in_other_format(spark, any_ansi):
-    df = texts(spark, ["2018-11-04"])
-    assert column_values(to_timestamp_fmt(df, "x", "dd/MM/yyyy", "coerce"), "x") == [None]
+@pytest.mark.parametrize(
+    "text",
+    ["2018-11-04", "31/02/2018", " 04/11/2018", "04/11/2018 ", '"04/11/2018"', "04/11/2018\n", "4/11/2018", "04/11/2018\x0105"],
+)
+def test_bad_date_in_other_format(spark, any_ansi, text):
+    df = texts(spark, ["04/11/2018", text])
+    assert column_values(to_timestamp_fmt(df, "x", "dd/MM/yyyy", "coerce"), "x") == [
+        dt.datetime(2018, 11, 4),
+        None,
+    ]
     with pytest.raises(PySparkException):
         write_out(to_timestamp_fmt(df, "x", "dd/MM/yyyy"))
 

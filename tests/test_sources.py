@@ -198,6 +198,16 @@ def test_csv_round_trip_of_hard_texts(spark, any_ansi, tmp_path):
     assert len(os.listdir(tmp_path / "b" / "k")) >= 5
 
 
+def test_times_keep_their_microseconds(spark, tmp_path):
+    df = spark.sql(
+        "select timestamp_ntz'2024-01-01 00:00:07.179575' a, timestamp'2024-01-01 00:00:07.179575' b"
+    )
+    path = write_object_csv(df, str(tmp_path), "b", "k")
+    assert rows(read_csv_table(spark, path)) == [
+        ("2024-01-01 00:00:07.179575", "2024-01-01 00:00:07.179575Z")
+    ]
+
+
 def test_write_replaces(spark, tmp_path):
     for n in (5, 3):
         path = write_object_csv(spark.range(n), str(tmp_path), "b", "k")

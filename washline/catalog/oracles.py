@@ -132,7 +132,7 @@ def oracle_sql() -> dict[str, str]:
             select o_orderkey,
                    case when o_orderkey % 13 <> 0 then date_trunc('day', o_orderdate) end as day,
                    case when o_orderkey % 11 <> 0 then date_trunc('day', o_orderdate) end as checked,
-                   date_trunc('minute', o_orderdate) as stamp
+                   o_orderdate as stamp
             from orders
         """,
         "normalize_nulls": """

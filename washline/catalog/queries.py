@@ -149,10 +149,10 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.when(F.col("o_orderkey") % 13 == 0, "").otherwise(short).alias("day"),
         F.when(F.col("o_orderkey") % 11 == 0, "2019-02-30").otherwise(short).alias("checked"),
-        F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("stamp"),
+        F.col("o_orderdate").cast("string").alias("stamp"),
     )
     df = to_timestamp_fmt(to_timestamp_fmt(df, "day"), "checked", mode="coerce")
-    return to_timestamp_fmt(df, "stamp", fmt="dd/MM/yyyy HH:mm")
+    return to_timestamp_fmt(df, "stamp", fmt="yyyy-MM-dd HH:mm:ss")
 
 
 def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,14 +73,13 @@ def parse_date(text: Column, fmt: str = "yyyy-M-d") -> Column:
 
     The default format goes through the date cast, which knows no time zone and needs no
     formatter object.  The pattern keeps out what that cast accepts beyond it (years alone,
-    signs, trailing times).  Other formats are read as UTC and moved to a zone-less timestamp
-    by their microseconds, so the session's time zone never shifts a value.
+    signs, trailing times).  Other formats go through the CSV function with one field per text:
+    it reads zone-less timestamps as such and gives null for others in every session.
     """
     if fmt == "yyyy-M-d":
         return F.when(
             text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz")
         )
-    known = F.when(is_date_given(text), text)
-    instant = F.try_to_timestamp(F.concat(known, F.lit(" +0000")), F.lit(fmt + " xx"))
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    one_field = F.when(is_date_given(text) & ~text.rlike(r"[\r\n\x01]"), text)
+    options = {"timestampNTZFormat": fmt, "sep": "\x01", "quote": ""}
+    return F.from_csv(one_field, "stamp timestamp_ntz", options)["stamp"]

@@ -37,6 +37,7 @@ def write_object_csv(
             ignoreLeadingWhiteSpace="false",
             ignoreTrailingWhiteSpace="false",
             timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
+            timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
             maxRecordsPerFile=max_records_per_file,
         )
         .csv(path)
