@@ -93,6 +93,20 @@ def test_own_name_and_arguments(spark):
         with_row_index(spark.range(3), "id", partitions=2_000_000)
 
 
+def test_costly_input_is_computed_once(spark):
+    computed = spark.sparkContext.accumulator(0)
+
+    def count_rows(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(count_rows, "id long")
+    out = with_row_index(df, "id", store_first=True)
+    check_dense(out, 1000, ["id"])
+    assert computed.value == 1000
+
+
 def test_result_is_the_same_on_every_evaluation(spark):
     df = spark.range(5000).withColumn("k", F.col("id") % 3)
     out = with_row_index(df, "k")

@@ -23,11 +23,13 @@ def with_row_index(
     order_by: str | Iterable[str],
     name: str = "index",
     partitions: int | None = None,
+    store_first: bool = False,
 ) -> DataFrame:
     """Add the row's 0-based place in the order of `order_by` as a bigint, as first column.
 
     `partitions` is the number of range partitions, by default one per GB of input and at least
-    `spark.sql.shuffle.partitions`.
+    `spark.sql.shuffle.partitions`.  Range partitioning reads its input twice, once to sample it:
+    with `store_first` an input that is costly to compute is stored and computed only once.
 
     1. Range-partition and sort by the order, then number the rows inside each partition.
     2. Write that once to the shared staging folder.  Both later reads see the same partitions,
@@ -47,6 +49,11 @@ def with_row_index(
     if not 1 <= count <= MAX_PARTITIONS:
         raise ValueError(f"partitions must be between 1 and {MAX_PARTITIONS}")
 
+    if store_first:
+        stored = staging_path(spark, "row-index-input")
+        df.write.parquet(stored)
+        df = spark.read.schema(df.schema).parquet(stored)
+
     rest = [
         column(f.name)
         for f in df.schema.fields

@@ -10,7 +10,7 @@ from washline.operators.row_index import with_row_index
 
 
 def _indexed(df: DataFrame, index_by: str | Iterable[str] | None) -> DataFrame:
-    return df if index_by is None else with_row_index(df, index_by)
+    return df if index_by is None else with_row_index(df, index_by, store_first=True)
 
 
 def write_table(
