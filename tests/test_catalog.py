@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL
+from conftest import SMALL, plan_of
 
 import __spark_entry__ as entry_points
 
@@ -10,6 +10,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
+# Results that come out of a shuffle; all others are narrow from scan to result.
+SHUFFLING = {"row_index", "profile_types"}
 FILE_QUERIES = {"list_files", "file_checksums", "land_files", "land_and_verify"}
 
 
@@ -40,6 +42,10 @@ def test_query_equals_sql(spark, duck, name):
     names = [d[0] for d in wanted.description]
     assert sorted(df.columns) == sorted(names)
     assert in_order(df.columns, map(tuple, df.collect())) == in_order(names, wanted.fetchall())
+    plan = plan_of(df)
+    for costly in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "Arrow"):
+        assert costly not in plan
+    assert ("Exchange" in plan) == (name in SHUFFLING)
 
 
 @pytest.mark.parametrize("name", sorted(FILE_QUERIES))

@@ -202,6 +202,17 @@ def test_stream_refuses_rows_that_do_not_fit(spark, tmp_path):
         run_stream(spark, tmp_path, ["a", "b"], lambda df: df)
 
 
+def test_stream_with_line_breaks(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "f.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n2,z\r\n')
+    with pytest.raises(ValueError, match="line_sep"):
+        run_stream(spark, tmp_path, ["a", "b"], lambda df: df, multiline=True)
+    run_stream(spark, tmp_path, ["a", "b"], lambda df: df, multiline=True, line_sep="\r\n")
+    out = spark.read.parquet(str(tmp_path / "sink")).select("a", "b").collect()
+    assert sorted(tuple(r) for r in out) == [("1", "x\r\ny"), ("2", "z")]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     dirty = dirty_transactions(spark, SMALL)
     write_object_csv(dirty.repartition(3), str(tmp_path), "landing", "")

@@ -89,7 +89,10 @@ def with_row_index(
 def _partitions_for(df: DataFrame) -> int:
     """Enough range partitions for the size of the plan's inputs, as the optimizer states it."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    inputs = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a remote session, which does not show its plans
+        return least
+    inputs = plan.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(str(inputs.apply(i).stats().sizeInBytes())) for i in range(inputs.size()))
     if size >= UNKNOWN_SIZE:
         return least

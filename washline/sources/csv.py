@@ -76,6 +76,12 @@ def read_header(spark: SparkSession, path: str, options: Mapping[str, str]) -> l
     return dedupe_header(first, case_sensitive)
 
 
+def read_line_end(spark: SparkSession, path: str) -> str:
+    """The line end of a source, seen in its first line: CR LF or LF."""
+    first = spark.read.option("lineSep", "\n").text(path).first()
+    return "\r\n" if first is not None and first["value"].endswith("\r") else "\n"
+
+
 def _plain_row(sep: str, width: int) -> str:
     """Pattern of a row of at most `width` fields, each quoted as a whole or free of quotes.
 
@@ -177,8 +183,12 @@ def read_csv_table(
     key_column  moved to the front
     na_tokens   field texts that mean "missing"; pass () to keep all texts
     multiline   allow line breaks inside quotes; each file is then read by one task
-    line_sep    the exact line end, when carriage returns inside fields must be kept
+    line_sep    the exact line end; by default any in a split read, and the one of the first
+                line in a multiline read
     """
+    if multiline and line_sep is None:
+        # Left to itself the parser would turn line ends inside quotes into LF.
+        line_sep = read_line_end(spark, path)
     options = csv_options(sep, multiline, line_sep)
     names = read_header(spark, path, options)
     df = read_lines_checked(spark.read, path, names, sep, options)

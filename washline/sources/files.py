@@ -19,7 +19,8 @@ def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
     """path, length, modificationTime, content of all files, the empty ones included.
 
     Scans leave files of length 0 out, though the listing knows them: they are the listed names
-    that the scan does not give.  Their modification time is null.
+    that the scan does not give.  Their modification time is null.  File names (not contents)
+    pass through the driver, where Spark's listing holds them in any case.
     """
     scanned = (
         spark.read.format("binaryFile")

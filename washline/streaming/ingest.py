@@ -37,10 +37,13 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start reading the CSV files under `landing` and writing `transform` of them to `sink`.
 
-    `schema` names the columns of the files in order; they arrive as text.  Every batch replaces
+    `schema` names the columns of the files in order; they arrive as text.  With `multiline` the
+    files' line end must be given, as there may be no file yet to see it in.  Every batch replaces
     its own folder `batch_id=<n>` of the sink, so a batch repeated after a failure leaves no
     duplicates.  Both `sink` and `checkpoint` must be on storage all executors share.
     """
+    if multiline and line_sep is None:
+        raise ValueError("a multiline stream needs line_sep")
     names = schema.names if isinstance(schema, T.StructType) else list(schema)
     reader = spark.readStream
     if max_files_per_trigger is not None:
