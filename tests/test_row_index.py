@@ -87,6 +87,8 @@ def test_number_of_partitions_follows_the_input(spark, monkeypatch):
 def test_own_name_and_arguments(spark):
     out = with_row_index(spark.range(3), "id", name="place")
     assert out.columns == ["place", "id"]
+    with pytest.raises(ValueError, match="column id already"):
+        with_row_index(spark.range(3), "id", name="id")
     with pytest.raises(ValueError, match="needs an order"):
         with_row_index(spark.range(3), [])
     with pytest.raises(ValueError, match="partitions"):

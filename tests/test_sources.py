@@ -156,6 +156,14 @@ def test_line_breaks_in_quotes(spark, csv_file, record):
     assert any("\n" in (v or "") for r in rows(df) for v in r)
 
 
+def test_line_break_in_the_header(spark, csv_file):
+    path = csv_file('"a\nb",c\n1,2\n')
+    with pytest.raises(ValueError, match="header"):
+        read_csv_table(spark, path)
+    df = read_csv_table(spark, path, multiline=True)
+    assert df.columns == ["a\nb", "c"] and rows(df) == [(1, 2)]
+
+
 def test_one_column_keeps_missing_rows(spark, tmp_path):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "x string")
     path = write_object_csv(df, str(tmp_path), "bucket", "key")

@@ -77,9 +77,7 @@ def parse_date(text: Column, fmt: str = "yyyy-M-d") -> Column:
     it reads zone-less timestamps as such and gives null for others in every session.
     """
     if fmt == "yyyy-M-d":
-        return F.when(
-            text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz")
-        )
+        return F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp_ntz"))
     one_field = F.when(is_date_given(text) & ~text.rlike(r"[\r\n\x01]"), text)
     options = {"timestampNTZFormat": fmt, "sep": "\x01", "quote": ""}
     return F.from_csv(one_field, "stamp timestamp_ntz", options)["stamp"]

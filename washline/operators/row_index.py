@@ -44,6 +44,8 @@ def with_row_index(
     order = as_list(order_by)
     if not order:
         raise ValueError("with_row_index needs an order: file order is not defined in Spark")
+    if name in df.columns:
+        raise ValueError(f"the table has a column {name} already")
     spark = df.sparkSession
     count = _partitions_for(df) if partitions is None else partitions
     if not 1 <= count <= MAX_PARTITIONS:

@@ -76,10 +76,10 @@ def read_header(spark: SparkSession, path: str, options: Mapping[str, str]) -> l
     return dedupe_header(first, case_sensitive)
 
 
-def read_line_end(spark: SparkSession, path: str) -> str:
-    """The line end of a source, seen in its first line: CR LF or LF."""
+def read_first_line(spark: SparkSession, path: str) -> str:
+    """The first line of the first file up to its line feed."""
     first = spark.read.option("lineSep", "\n").text(path).first()
-    return "\r\n" if first is not None and first["value"].endswith("\r") else "\n"
+    return first["value"] if first is not None else ""
 
 
 def _plain_row(sep: str, width: int) -> str:
@@ -186,9 +186,12 @@ def read_csv_table(
     line_sep    the exact line end; by default any in a split read, and the one of the first
                 line in a multiline read
     """
+    first_line = read_first_line(spark, path)
     if multiline and line_sep is None:
         # Left to itself the parser would turn line ends inside quotes into LF.
-        line_sep = read_line_end(spark, path)
+        line_sep = "\r\n" if first_line.endswith("\r") else "\n"
+    if not multiline and first_line.count('"') % 2 == 1:
+        raise ValueError(f"line break inside quotes in the header, read with multiline=True: {path}")
     options = csv_options(sep, multiline, line_sep)
     names = read_header(spark, path, options)
     df = read_lines_checked(spark.read, path, names, sep, options)
