@@ -28,14 +28,19 @@ def _kind(text: Column) -> Column:
     """
     fits_bigint = text.try_cast("bigint").isNotNull()
     fits_double = F.abs(text.try_cast("double")) < float("inf")
-    return (
-        F.when(text.isNull(), None)
-        .when(text.rlike(WHOLE_NUMBER), F.when(fits_bigint, INT).otherwise(TEXT))
+    # Most texts are ruled out as numbers by their first characters, with one short match.
+    like_a_number = text.rlike(r"^\s*[+-]?[0-9.iI]")
+    number = (
+        F.when(text.rlike(WHOLE_NUMBER), F.when(fits_bigint, INT).otherwise(TEXT))
         .when(text.rlike(DECIMAL), F.when(fits_double, FLOAT).otherwise(TEXT))
-        .when(text.isin(*TRUE_TOKENS, *FALSE_TOKENS), BOOL)
         .when(text.rlike(INFINITY), FLOAT)
         .otherwise(TEXT)
     )
+    return (
+        F.when(like_a_number, number)
+        .when(text.isin(*TRUE_TOKENS, *FALSE_TOKENS), BOOL)
+        .when(text.isNotNull(), TEXT)
+    )
 
 
 def profile_types(df: DataFrame) -> DataFrame:
