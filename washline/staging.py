@@ -6,7 +6,6 @@ to a folder every executor can reach, so a lost executor costs a re-read and nev
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,18 +14,9 @@ SETTING = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.
-
-    Only a local-mode session without that setting gets a temporary folder of its own; on a
-    cluster a machine-local folder would lose data, so there the setting is required.
-    """
+    """The folder named by `spark.checkpoint.dir`, else one in the session's warehouse; both are shared."""
     shared = spark.conf.get(SETTING, None)
-    if shared:
-        return shared.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="washline-")
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging").rstrip("/")
 
 
 def staging_path(spark: SparkSession, purpose: str) -> str:
