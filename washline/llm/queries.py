@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import washline
-from washline.llm import chat, decontamination, packing, quality, simhash, token_files, urls
+from washline.llm import chat, decontamination, fingerprints, lm, packing, quality, simhash, token_files, urls
 from washline.llm.common import text_or_empty
 from washline.staging import staging_path
 
@@ -48,6 +48,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -82,6 +86,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op8_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm.score_texts(docs, quality.fold_is_not(7, 2))
+    return scored.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(quality.fold_is_not(5, 0))
@@ -95,11 +105,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [
+    op1_document_fingerprints,
     op2_template_decontamination,
     op3_simhash_near_dedup,
     op4_prefix_target_chat,
     op6_url_filter,
     op7_token_files,
+    op8_class_ngrams,
     op9_quality_classifier,
     op10_best_fit_packing,
 ]
