@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import washline
-from washline.llm import chat, decontamination, fingerprints, lm, packing, quality, simhash, token_files, urls
+from washline.llm import chat, decontamination, fingerprints, lm, packing, pages, quality, simhash, token_files, urls
 from washline.llm.common import text_or_empty
 from washline.staging import staging_path
 
@@ -74,6 +74,11 @@ def op4_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(planted)))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract(found, pages.fit(found))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = ["org/", "!example.org/es/", "!example.org/en/1", "com/fr/", "!com/de/"]
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -109,6 +114,7 @@ QUERIES: list[Query] = [
     op2_template_decontamination,
     op3_simhash_near_dedup,
     op4_prefix_target_chat,
+    op5_html_extraction,
     op6_url_filter,
     op7_token_files,
     op8_class_ngrams,
