@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from washline.llm.common import slices, stage, text_or_empty, with_fields
+from washline.llm.common import shuffle_partitions, slices, stage, text_or_empty, with_fields
 from washline.llm.components import connected_components
 from washline.names import column
 
@@ -91,7 +91,8 @@ def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def links(fingerprints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """All pairs (a, b) of distinct values in the bigint column `fingerprint` within `distance` bits, each once."""
     own = fingerprints.select(F.col("fingerprint").alias("f")).where("f is not null").distinct()
-    stored = stage(own.withColumn("group", F.lit(0).cast("bigint")), "fingerprints")
+    spread = own.withColumn("group", F.lit(0).cast("bigint")).repartition(shuffle_partitions(own.sparkSession))
+    stored = stage(spread, "fingerprints")
     return _search(stored, list(range(64)), distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -132,7 +133,7 @@ def _pairs(keyed: DataFrame, rest: list[int], distance: int) -> DataFrame:
     zeros = alone.where("one is null or not one").select(F.col("f").alias("a"), "key", F.col("one").alias("one_a"))
     ones = alone.where("one is null or one").select(F.col("f").alias("b"), "key", F.col("one").alias("one_b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    pairs = zeros.join(ones, (zeros["key"] == ones["key"]) & near & (F.col("one_a").isNull() & (F.col("a") < F.col("b")) | F.col("one_a").isNotNull())).select("a", "b")
+    pairs = zeros.join(ones.hint("merge"), (zeros["key"] == ones["key"]) & near & (F.col("one_a").isNull() & (F.col("a") < F.col("b")) | F.col("one_a").isNotNull())).select("a", "b")
     if crowded is None:
         return pairs
     inside = stage(keyed.join(few, "key", "left_semi").select("f", F.col("key").alias("group")), "crowded")
