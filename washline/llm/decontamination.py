@@ -9,7 +9,7 @@ item if windows that pass cover at least SHARE of the item's.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from washline.llm.common import stage, text_or_empty
@@ -55,21 +55,16 @@ def _is_slot(word: Column) -> Column:
     return F.ascii(word).between(1, 3)
 
 
-def windows_of(tokens: Column, sizes: list[int]) -> Column:
+def windows_of(tokens: Column, size: Column) -> Column:
     """Windows (place, size, hash, slots) of an array of tokens; slots: the values in the window, or null without any."""
-    found = [_windows(tokens, size) for size in sizes]
-    return F.concat(*found) if len(found) > 1 else found[0]
-
-
-def _windows(tokens: Column, size: int) -> Column:
     last = F.size(tokens["t"]) - size
     places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
     def window(i: Column) -> Column:
-        values = F.filter(F.slice(tokens["v"], i + 1, F.lit(size)), lambda v: v.isNotNull())
+        values = F.filter(F.slice(tokens["v"], i + 1, size), lambda v: v.isNotNull())
         slots = F.when((F.size(tokens["v"]) > 0) & (F.size(values) > 0), values)
-        key = F.xxhash64(F.slice(tokens["t"], i + 1, F.lit(size)))
-        return F.struct(i.alias("place"), F.lit(size).alias("size"), key.alias("hash"), slots.alias("slots"))
+        key = F.xxhash64(F.slice(tokens["t"], i + 1, size))
+        return F.struct(i.alias("place"), size.alias("size"), key.alias("hash"), slots.alias("slots"))
 
     return F.transform(places, window)
 
@@ -86,15 +81,21 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, of (windows the item is judged by), hash, size, item_place, item_slots, weight; each hash once per item."""
     items = benchmark.select(column("item_id").alias("item_id"), text_or_empty().alias("text"))
     tokens = _templates(items, ["item_id"]).where(F.size("tokens.t") >= SHORTEST).dropDuplicates(["item_id", "tokens"])
-    sizes = list(range(SHORTEST, WINDOW + 1))
-    own = tokens.select("item_id", F.least(F.size("tokens.t"), F.lit(WINDOW)).alias("n"), F.explode(windows_of(F.col("tokens"), sizes)).alias("w"))
-    own = own.where("w.size = n").groupBy("item_id", "w.hash", "w.size")
-    own = own.agg(F.min("w.place").alias("item_place"), F.min_by("w.slots", "w.place").alias("item_slots"), F.count("*").alias("weight"))
-    shared = own.groupBy("hash").agg(F.count("*").alias("items"))
-    rows = own.join(shared, "hash").withColumn("common", F.col("items") > COMMON)
-    judged = rows.groupBy("item_id").agg(F.min("common").alias("only_common"), F.sum("weight").alias("all"), F.sum(F.when(~F.col("common"), F.col("weight"))).alias("rare"))
-    rows = rows.join(judged, "item_id").where("only_common or not common")
-    return rows.select("item_id", F.when(F.col("only_common"), F.col("all")).otherwise(F.col("rare")).alias("of"), "hash", "size", "item_place", "item_slots", "weight")
+    size = F.least(F.size("tokens.t"), F.lit(WINDOW))
+    own = tokens.select("item_id", F.explode(windows_of(F.col("tokens"), size)).alias("w")).groupBy("item_id", "w.hash", "w.size")
+    own = own.agg(F.min(F.struct("w.place", "w.slots")).alias("first"), F.count("*").alias("weight"))
+    by_item = Window.partitionBy("item_id")
+    rows = own.withColumn("common", F.count("*").over(Window.partitionBy("hash")) > COMMON)
+    rows = rows.withColumn("only_common", F.min("common").over(by_item)).where("only_common or not common")
+    return rows.select(
+        "item_id",
+        F.sum("weight").over(by_item).alias("of"),
+        "hash",
+        "size",
+        F.col("first.place").alias("item_place"),
+        F.col("first.slots").alias("item_slots"),
+        "weight",
+    )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -110,7 +111,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None)
     few = F.broadcast(index) if found[0] <= MOST_BROADCAST else index
     rows = docs.select(*(column(k).alias(f"k{i}") for i, k in enumerate(keys)), text_or_empty().alias("text"))
     own = [f"k{i}" for i in range(len(keys))]
-    windows = _templates(rows, own).select(*own, F.explode(windows_of(F.col("tokens"), sorted(found[1]) or [WINDOW])).alias("w"))
+    found_windows = [windows_of(F.col("tokens"), F.lit(n)) for n in sorted(found[1]) or [WINDOW]]
+    windows = _templates(rows, own).select(*own, F.explode(F.concat(*found_windows)).alias("w"))
     hits = windows.select(*own, "w.place", F.col("w.hash").alias("hash"), "w.slots").join(few, "hash")
     # A window of placeholders mostly, or a crowd of them, needs the very values.
     hits = hits.where((F.coalesce(F.size("item_slots"), F.lit(0)) * 2 <= F.col("size")) | F.col("slots").eqNullSafe(F.col("item_slots")))
