@@ -4,7 +4,8 @@ import duckdb
 import pytest
 from conftest import SMALL, plan_of
 
-import __spark_entry__ as entry_points
+import __spark_entry__
+from washline import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
@@ -31,14 +32,14 @@ def in_order(names, rows):
 
 
 def test_every_query_but_the_file_ones_has_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == FILE_QUERIES
-    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == FILE_QUERIES
+    assert set(catalog.oracle_sql()) <= set(catalog.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
-    df = entry_points.queries()[name](spark, SMALL)
-    wanted = duck.execute(entry_points.oracle_sql()[name])
+    df = catalog.queries()[name](spark, SMALL)
+    wanted = duck.execute(catalog.oracle_sql()[name])
     names = [d[0] for d in wanted.description]
     assert sorted(df.columns) == sorted(names)
     assert in_order(df.columns, map(tuple, df.collect())) == in_order(names, wanted.fetchall())
@@ -50,10 +51,19 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(FILE_QUERIES))
 def test_file_queries_see_every_table(spark, name):
-    rows = entry_points.queries()[name](spark, SMALL).collect()
+    rows = catalog.queries()[name](spark, SMALL).collect()
     assert {r["path"].rsplit("/", 1)[1] for r in rows} == {f"{t}.parquet" for t in TABLES}
     assert all(r["ok"] for r in rows if name == "land_and_verify")
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 6000
+    assert __spark_entry__.entry(spark).count() == 6000
+
+
+def test_entry_points_hold_the_catalog():
+    assert set(catalog.queries()) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_merged_branches_read_each_table_once(spark):
+    assert plan_of(catalog.queries()["merge_branches"](spark, SMALL)).count("FileScan parquet") == 2

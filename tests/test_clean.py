@@ -156,3 +156,19 @@ def test_cleaning_is_narrow_and_in_the_jvm(spark):
     df = spark.range(10).selectExpr("cast(id as string) x", "cast(id as string) y")
     plan = plan_of(trim_strings(parse_currency(strip_specials(df, "y"), "x")))
     assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(20,2)"])
+def test_cleaners_write_whole_fractions_as_integers(spark, any_ansi, kind):
+    df = texts(spark, ["12.0", "-10000000.0", None]).selectExpr("row", f"cast(x as {kind}) x")
+    assert column_values(digits_only(df, "x"), "x") == ["12", "10000000", None]
+    assert column_values(strip_specials(df, "x"), "x") == ["12", "10000000", None]
+    broken = texts(spark, ["1.5", "2.0"]).selectExpr("row", f"cast(x as {kind}) x")
+    assert column_values(digits_only(broken, "x", mode="coerce"), "x") == [None, "2"]
+    with pytest.raises(Exception, match="not whole"):
+        write_out(digits_only(broken, "x"))
+
+
+def test_cleaners_take_nan_as_missing(spark, any_ansi):
+    df = texts(spark, ["NaN", "3"]).selectExpr("row", "cast(x as double) x")
+    assert column_values(digits_only(df, "x"), "x") == [None, "3"]

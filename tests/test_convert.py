@@ -165,3 +165,11 @@ def test_hour_and_modulo(spark):
     assert value(df, modulo(hour_of(F.col("ts")), 2)) == 1
     with pytest.raises(ValueError):
         modulo(F.col("ts"), 0)
+
+
+def test_fractions_are_added_and_multiplied(spark, any_ansi):
+    x, y = F.col("x"), F.col("y")
+    given = numbers(spark, 2.5, 3.5, "double")
+    assert (value(given, add(x, y)), value(given, multiply(x, y))) == (6.0, 8.75)
+    whole = numbers(spark, 2**31 - 1, 2, "int")
+    assert (value(whole, add(x, y)), value(whole, multiply(x, y))) == (2**31 + 1, 2**32 - 2)

@@ -1,7 +1,6 @@
 """Whole jobs: cleaning, publishing, streaming, table writing, settings."""
 
 import datetime as dt
-from unittest import mock
 
 import pytest
 from conftest import SMALL, plan_of, write_out
@@ -12,6 +11,8 @@ from washline import staging
 from washline.catalog.dirty import dirty_transactions
 from washline.functions.fixed_values import NA_TOKENS
 from washline.plans import clean_store_transactions, publish_clean, publish_raw
+from pyspark.sql.readwriter import DataFrameWriter
+
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
 from washline.streaming import ingest_stream
 from washline.streaming.ingest import ONCE
@@ -130,15 +131,17 @@ def test_write_table_replaces(spark, tmp_path):
     assert out.columns == ["other"] and out.count() == 3
 
 
-def test_jdbc_options(spark):
-    """No database runs here; this checks what the writer is told."""
-    df, writer = mock.MagicMock(), mock.MagicMock()
-    df.write.mode.return_value = writer
-    writer.option.return_value = writer
-    write_table_jdbc(df, "jdbc:x:y", "target", {"user": "u"}, max_connections=4, batch_size=7)
-    df.write.mode.assert_called_once_with("overwrite")
-    assert writer.option.call_args_list == [mock.call("numPartitions", 4), mock.call("batchsize", 7)]
-    writer.jdbc.assert_called_once_with("jdbc:x:y", "target", properties={"user": "u"})
+def test_jdbc_inserts_from_a_stored_copy(spark, monkeypatch):
+    seen = {}
+
+    def jdbc(self, url, table, properties):
+        seen.update(plan=plan_of(self._df), rows=self._df.count(), at=(url, table, properties))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    df = spark.range(100, numPartitions=7).withColumn("x", F.col("id") * 2)
+    write_table_jdbc(df, "jdbc:x:y", "target", {"user": "u"}, max_connections=4)
+    assert seen["rows"] == 100 and seen["at"] == ("jdbc:x:y", "target", {"user": "u"})
+    assert "FileScan parquet" in seen["plan"] and "Range" not in seen["plan"]
 
 
 def test_preview(spark):
@@ -237,9 +240,9 @@ def test_staging_folder():
     assert staging.staging_root(shared) == "s3a://shared/dir"
     assert staging.staging_path(shared, "x").startswith("s3a://shared/dir/washline/x-")
     assert staging.staging_path(shared, "x") != staging.staging_path(shared, "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.staging_root(Session(spark_master="spark://host:7077"))
-    assert "washline-" in staging.staging_root(Session(spark_master="local[2]"))
+    for master in ("spark://host:7077", "local[2]"):
+        unset = Session(spark_sql_warehouse_dir="hdfs://warehouse/", spark_master=master)
+        assert staging.staging_root(unset) == "hdfs://warehouse/staging"
 
 
 def test_number_of_missing_value_tokens():

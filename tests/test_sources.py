@@ -401,3 +401,19 @@ def test_probe(spark, csv_file, tmp_path):
 )
 def test_error_classes(message, status):
     assert classify_read_error(RuntimeError(message)) == (status, "RuntimeError")
+
+
+def test_undecodable_bytes_are_refused(spark, tmp_path):
+    path = tmp_path / "latin.csv"
+    path.write_bytes("id,name\n1,caf\u00e9\n2,tea\n".encode("latin-1"))
+    with pytest.raises(Exception, match="bytes that are no UTF-8"):
+        read_csv_table(spark, str(path)).collect()
+    read = read_csv_table(spark, str(path), encoding="ISO-8859-1")
+    assert sorted(map(tuple, read.collect())) == [(1, "caf\u00e9"), (2, "tea")]
+
+
+def test_empty_files_have_a_time(spark, tmp_path):
+    (tmp_path / "empty").touch()
+    (tmp_path / "full").write_text("x")
+    times = {r["length"]: r["modificationTime"] for r in list_files(spark, str(tmp_path)).collect()}
+    assert set(times) == {0, 1} and abs(times[0] - times[1]).total_seconds() < 60

@@ -146,7 +146,9 @@ def oracle_sql() -> dict[str, str]:
                    l_linenumber::bigint + l_partkey as total,
                    l_linenumber::bigint * l_partkey as product,
                    l_partkey / nullif(l_linenumber, 0) as ratio,
-                   l_linenumber / nullif(l_partkey, 0) as ratio_or_null
+                   l_linenumber / nullif(l_partkey, 0) as ratio_or_null,
+                   l_tax + l_quantity as fraction_total,
+                   l_quantity * l_extendedprice as fraction_product
             from lineitem
         """,
         "hour_and_parity": """
@@ -167,7 +169,15 @@ def oracle_sql() -> dict[str, str]:
             where not coalesce(value > 0, false) and not coalesce(value > 50, false)
         """,
         "take_branch": f"select * from ({ROUTED}) where branch = 'odd_hour'",
-        "merge_branches": ROUTED,
+        "merge_branches": """
+            select p_partkey as key, p_retailprice as price, 'part' as branch from part
+            union all select o_orderkey, o_totalprice, 'order' from orders
+        """,
+        "clean_whole_fractions": """
+            select l_orderkey, l_linenumber, l_quantity::bigint::varchar as digits,
+                   l_quantity::bigint::varchar as code
+            from lineitem
+        """,
         "change_branches": f"""
             select case when branch = 'odd_hour' then -event_id else event_id end as event_id,
                    branch, ts,

@@ -182,6 +182,8 @@ def arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
         multiply(line, part).alias("product"),
         divide(part, line).alias("ratio"),
         divide(line, part, mode="coerce").alias("ratio_or_null"),
+        add(F.col("l_tax"), F.col("l_quantity")).alias("fraction_total"),
+        multiply(F.col("l_quantity"), F.col("l_extendedprice")).alias("fraction_product"),
     )
 
 
@@ -218,12 +220,24 @@ def one_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_branch = routed(spark, sf_dir)
+    """Branches that are tables of their own, each read once."""
+    parts, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
     return merge_branches(
-        {name: take_branch(by_branch, name) for name in ("even_hour", "odd_hour", "none_hour")}
+        {
+            "part": parts.select(F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("price")),
+            "order": orders.select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price")),
+        }
     )
 
 
+def whole_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers held as doubles, cleaned as text."""
+    df = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("digits"), F.col("l_quantity").alias("code")
+    )
+    return strip_specials(digits_only(df, "digits"), "code")
+
+
 def changed_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = hour_of(F.col("ts"))
     changes = {
@@ -427,6 +441,7 @@ def queries() -> dict[str, Query]:
         "strip_specials_text": specials_text,
         "digits_to_bigint": customer_digits,
         "digits_to_bigint_pages": page_digits,
+        "clean_whole_fractions": whole_fractions,
         "parse_currency": currency,
         "round_half_even": half_even,
         "trim_strings": trimmed,

@@ -16,15 +16,23 @@ def _checked(result: Column, x: Column, y: Column, problem: str, mode: str) -> C
     return F.coalesce(result, F.when(both_given, F.raise_error(F.lit(problem))))
 
 
-def add(x: Column, y: Column, mode: str = RAISE, dtype: str = "bigint") -> Column:
-    """x + y in `dtype`; overflow is an error, or null with mode='coerce'."""
-    total = F.try_add(x.cast(dtype), y.cast(dtype))
+def _wide(x: Column, dtype: str | None) -> Column:
+    """The column in `dtype`; without one, integers as bigint and fractional types as they are."""
+    return x.cast(dtype) if dtype else x + F.lit(0).cast("bigint")
+
+
+def add(x: Column, y: Column, mode: str = RAISE, dtype: str | None = None) -> Column:
+    """x + y in `dtype`; overflow is an error, or null with mode='coerce'.
+
+    Without `dtype` integers are added as bigint, and fractions are kept.
+    """
+    total = F.try_add(_wide(x, dtype), _wide(y, dtype))
     return _checked(total, x, y, "overflow in addition", mode)
 
 
-def multiply(x: Column, y: Column, mode: str = RAISE, dtype: str = "bigint") -> Column:
-    """x * y in `dtype`; overflow is an error, or null with mode='coerce'."""
-    product = F.try_multiply(x.cast(dtype), y.cast(dtype))
+def multiply(x: Column, y: Column, mode: str = RAISE, dtype: str | None = None) -> Column:
+    """x * y in `dtype`; overflow is an error, or null with mode='coerce'; types as in `add`."""
+    product = F.try_multiply(_wide(x, dtype), _wide(y, dtype))
     return _checked(product, x, y, "overflow in multiplication", mode)
 
 

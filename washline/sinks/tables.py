@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from washline.operators.row_index import with_row_index
+from washline.staging import remove_staged, staging_path
 
 
 def _indexed(df: DataFrame, index_by: str | Iterable[str] | None) -> DataFrame:
@@ -36,11 +37,18 @@ def write_table_jdbc(
     `max_connections` bounds the number of tasks that insert at once and `batch_size` the rows
     per round trip.  Each task commits on its own, so a failed write leaves a partial table and
     is repaired by running it again.  Credentials belong in `properties` and are never logged.
+
+    The rows are stored first, so that reading and computing them keeps its own partitions and
+    the few inserting tasks only read the stored copy, which is deleted afterwards.
     """
-    out = _indexed(df, index_by)
+    spark = df.sparkSession
+    path = staging_path(spark, "jdbc")
+    _indexed(df, index_by).write.parquet(path)
+    out = spark.read.parquet(path)
     (
         out.write.mode("overwrite")
         .option("numPartitions", max_connections)
         .option("batchsize", batch_size)
         .jdbc(url, table, properties=dict(properties))
     )
+    remove_staged(spark, path)

@@ -32,8 +32,11 @@ def spark_sep(sep: str) -> str:
     return sep.replace("\\", "\\\\")
 
 
-def csv_options(sep: str, multiline: bool, line_sep: str | None) -> dict[str, str]:
+def csv_options(
+    sep: str, multiline: bool, line_sep: str | None, encoding: str = "UTF-8"
+) -> dict[str, str]:
     options = {
+        "encoding": encoding,
         "sep": spark_sep(sep),
         "quote": '"',
         "escape": '"',
@@ -141,8 +144,16 @@ def read_lines_checked(
     )
     line = F.col(LINE)
     plain = line.rlike(_plain_row(sep, width)) if len(sep) == 1 else F.lit(False)
+    # What the decoder could not read, it has replaced by this character.
+    replaced = F.contains(F.coalesce(line, F.concat_ws(sep, *map(column, names))), F.lit("\ufffd"))
     checked = (
-        F.when(plain, True)
+        F.when(
+            replaced,
+            F.raise_error(F.lit(f"bytes that are no {options['encoding']} in {path}")).cast(
+                "boolean"
+            ),
+        )
+        .when(plain, True)
         .when(
             _breaks_in_quotes(line, sep) if options["multiLine"] != "true" else F.lit(False),
             F.raise_error(
@@ -173,6 +184,7 @@ def read_csv_table(
     na_tokens: Iterable[str] = NA_TOKENS,
     multiline: bool = False,
     line_sep: str | None = None,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """A headered CSV file, or a directory of files with the same header.
 
@@ -185,6 +197,8 @@ def read_csv_table(
     multiline   allow line breaks inside quotes; each file is then read by one task
     line_sep    the exact line end; by default any in a split read, and the one of the first
                 line in a multiline read
+    encoding    of the files; bytes that it cannot hold, or a replacement character in the
+                text, are an error
     """
     first_line = read_first_line(spark, path)
     if multiline and line_sep is None:
@@ -192,7 +206,7 @@ def read_csv_table(
         line_sep = "\r\n" if first_line.endswith("\r") else "\n"
     if not multiline and first_line.count('"') % 2 == 1:
         raise ValueError(f"line break inside quotes in the header, read with multiline=True: {path}")
-    options = csv_options(sep, multiline, line_sep)
+    options = csv_options(sep, multiline, line_sep, encoding)
     names = read_header(spark, path, options)
     df = read_lines_checked(spark.read, path, names, sep, options)
     if columns is not None:

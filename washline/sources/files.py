@@ -15,12 +15,18 @@ from pyspark.sql import functions as F
 from washline.functions import sha256_hex
 
 
+def _modified(spark: SparkSession, path: str) -> int:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(file).getModificationTime()
+
+
 def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
     """path, length, modificationTime, content of all files, the empty ones included.
 
     Scans leave files of length 0 out, though the listing knows them: they are the listed names
-    that the scan does not give.  Their modification time is null.  File names (not contents)
-    pass through the driver, where Spark's listing holds them in any case.
+    that the scan does not give; the file system tells their modification time.  File names (not
+    contents) pass through the driver, where Spark's listing holds them in any case.
     """
     scanned = (
         spark.read.format("binaryFile")
@@ -30,11 +36,14 @@ def _files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
     # Listed names are URLs: decoded, and without an empty authority, they equal `path`.
     names = [unquote(url).replace(":///", ":/", 1) for url in scanned.inputFiles()]
     listed = spark.createDataFrame([(name,) for name in names], "path string")
-    empty = listed.join(scanned.select("path"), "path", "left_anti")
+    empty = listed.join(scanned.select("path"), "path", "left_anti").collect()
+    times = spark.createDataFrame(
+        [(r["path"], _modified(spark, r["path"])) for r in empty], "path string, ms bigint"
+    )
     return scanned.unionByName(
-        empty.select(
+        times.select(
             "path",
-            F.lit(None).cast("timestamp").alias("modificationTime"),
+            F.timestamp_millis("ms").alias("modificationTime"),
             F.lit(0).cast("bigint").alias("length"),
             F.lit(b"").alias("content"),
         )

@@ -22,3 +22,9 @@ def staging_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path under the staging root."""
     return f"{staging_root(spark)}/washline/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing will read again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -34,6 +34,7 @@ def ingest_stream(
     multiline: bool = False,
     line_sep: str | None = None,
     max_files_per_trigger: int | None = None,
+    encoding: str = "UTF-8",
 ) -> StreamingQuery:
     """Start reading the CSV files under `landing` and writing `transform` of them to `sink`.
 
@@ -48,7 +49,7 @@ def ingest_stream(
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    options = csv_options(sep, multiline, line_sep)
+    options = csv_options(sep, multiline, line_sep, encoding)
     rows = read_lines_checked(reader, landing, names, sep, options)
     tokens = tuple(na_tokens)
     if tokens:
