@@ -39,6 +39,9 @@ DISTANCE = 3
 #: Keys with more fingerprints than this are searched again inside.
 CROWDED = 64
 
+#: Where only so many bits are left, a group is small by itself.
+FEW_BITS = 8
+
 #: So many 8-byte keys are broadcast at most; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -121,7 +124,7 @@ def _variants(bits: list[int]) -> Column:
 def _pairs(keyed: DataFrame, rest: list[int], distance: int) -> DataFrame:
     """Rows that share a key and are near: those with the deleted bit 0 meet those with 1."""
     crowded = None
-    if rest:
+    if len(rest) > FEW_BITS:
         crowded = stage(keyed.groupBy("key").count().where(F.col("count") > CROWDED).select("key"), "crowded-keys")
         n = crowded.count()
         if not n:
