@@ -285,8 +285,13 @@ def fit(pages: DataFrame) -> Model:
     """Train on at most MOST_LABELLED pages of the table that have an `article` or `main` element."""
     source = text_or_empty("html")
     labelled = pages.select(source.alias("html")).where(F.regexp_like(source, F.lit("(?i)<(article|main)[ >]")))
-    chosen = labelled.select("html", F.xxhash64("html").alias("order")).orderBy("order").limit(MOST_LABELLED)
-    return train([r["html"] for r in chosen.collect()])
+    hashed = labelled.select("html", F.xxhash64("html").alias("order"))
+    # First the hashes alone, so that no task sends pages that are not chosen; copies count once.
+    orders = [r["order"] for r in hashed.select("order").distinct().orderBy("order").limit(MOST_LABELLED).collect()]
+    if not orders:
+        return train([])
+    chosen = hashed.where(F.col("order") <= orders[-1]).groupBy("order").agg(F.min("html").alias("html"))
+    return train([r["html"] for r in chosen.orderBy("order").collect()])
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:
