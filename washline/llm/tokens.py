@@ -12,6 +12,7 @@ several times faster:
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
@@ -85,6 +86,7 @@ class Encoder:
             self.letters = byte_letters()
             self.part_ids = Pieces(self._part)
             self.word_ids = Pieces(self._word)
+            gc.set_threshold(100_000, 20, 50)  # the many small lists here form no cycles
         else:
             self.encode = self.whole
 
@@ -110,8 +112,10 @@ class Encoder:
         return b"".join(map(ids.__getitem__, self.parts(word)))
 
     def _part(self, part: str) -> bytes:
-        letters = part if part.isascii() else part.encode().decode("latin-1")
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters.translate(self.letters))]).tobytes()
+        letters = part
+        if not (part.isascii() and part.isprintable()):
+            letters = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
 
 def _ranked(model: dict) -> bool:
