@@ -345,6 +345,30 @@ def test_pages_of_another_make(spark):
     assert pages.extract(table.limit(0), pages.fit(table.limit(0))).count() == 0
 
 
+LONG = "<p>A long paragraph of the page's text stands here, with enough words to look like prose to anyone.</p>"
+
+
+@pytest.mark.parametrize("named", ['body class="page no-sidebar"', 'body class="single-post comments-open"', 'html class="cookie-consent"', 'div id="page" class="menu-closed"', 'article class="post has-comments"', 'form id="aspnetForm" action="x"'])
+def test_names_around_the_page_do_not_empty_it(named):
+    model = pages.train([source for *_, source in given("pages")])
+    tag = named.split()[0]
+    outer = {"html": "", "body": "<html>"}.get(tag, "<html><body>")
+    found = model.text(f"{outer}<{named}><nav><a href=/>Home</a></nav>{LONG * 3}<div class='comments'><p>Nice post! Thanks for sharing this.</p></div></{tag}>")
+    assert found == "\n\n".join([LONG[3:-4]] * 3)
+
+
+def test_names_of_headings_and_sections_in_an_article():
+    model = pages.train([source for *_, source in given("pages")])
+    page = f"""<body><header class="header">Site</header><article><header><h1>Title</h1></header>{LONG}<h2 id="related-work">Related work</h2>{LONG}
+      <section id="search"><h2>Search</h2>{LONG}</section><div class="ad">Buy this fine thing now, it is cheap. Really.</div></article><footer>end</footer>"""
+    text = LONG[3:-4]
+    assert model.text(page) == "\n\n".join(["Title", text, "Related work", text, "Search", text])
+    prose = LONG.replace("<p>", "<p class=prose>")
+    learned = [*(source for *_, source in given("pages")), *[f"<article>{prose * 9}</article><div>x</div>"] * 20]
+    page = f"<article>{LONG * 7}<div class=notice>{prose * 5}</div><div class=notice>{LONG * 1}</div></article>"
+    assert pages.train(learned).text(page) == "\n\n".join([text] * 12)
+
+
 # --- URLs ---------------------------------------------------------------------------------------
 
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}

@@ -3,12 +3,14 @@
 A page's block elements are the nodes of a tree; each is content or not.  Potentials tie a child's
 label to its parent's, and a node's own potential comes from its tag, its class, id and role words,
 how much text and how many links it holds directly and whether the text ends like a sentence.  Sum-product
-messages go up from the leaves and down from the root; both together give each node's exact
+messages go up from the leaves and down from the root; both together give each node's
 marginal.  The text of nodes that are content more likely than not is the page's text.
 
 The potentials are counted on labelled pages: those whose markup names its main part, by one
-`article` or `main` element.  Fixed priors stand for what few pages show: a region
-named as navigation, advert or comments is no content whatever it holds.
+`article` or `main` element.  Fixed priors stand for what few pages show.  A region named as
+navigation, advert or comments is unlikely content, and so is what it holds; it takes its parent's
+message but sends none, as an advert says nothing about the text around it.  Neither the page's root
+elements nor headings nor an element around most of the text are such regions, whatever their names.
 """
 
 from __future__ import annotations
@@ -54,8 +56,12 @@ UNTELLING = set("html body div section span table tbody tr ul ol dl".split())
 MAIN_TAGS = {"article", "main"}
 MAIN_WORDS = set("article main content post entry story maincontent articlebody articletext".split())
 
-#: Log-odds of these, and the most that counted features may say.
-NEVER, MAIN_TAG, MAIN_WORD, ROOT, MOST_COUNTED = -200.0, 8.0, 3.0, -5.0, 2.0
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+ROOTS = {"html", "body"}
+
+#: Log-odds of these, and the most that counted features may say.  NAMED is for a region's element, INSIDE for those
+#: in it that hold text, MAYBE for an element that only its id names, or that a whole class word also names as the main part.
+NAMED, INSIDE, MAYBE, MAIN_TAG, MAIN_WORD, ROOT, MOST_COUNTED = -8.0, -7.0, -3.0, 8.0, 3.0, -5.0, 2.0
 
 #: Parent-child potentials start from so many imagined pairs, and no change of label becomes rarer than FLOOR.
 IMAGINED, FLOOR = 20, 0.02
@@ -76,7 +82,8 @@ class Node:
     parent: int
     tag: str
     names: frozenset[str]
-    never: bool = False
+    named: float = 0.0  # log-odds by the element's own tag and names: NAMED, MAYBE or 0
+    region: bool = False  # is the element in a named region, or one?
     text: int = 0
     linked: int = 0
     ends: int = 0
@@ -88,21 +95,55 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
 
-def _names(attributes: str) -> frozenset[str]:
+def _names(attributes: str) -> tuple[frozenset[str], frozenset[str], bool]:
+    """The words of class, id and role, those of class and role alone, and whether one class is made of words for the main part."""
     if "=" not in attributes:
-        return NO_NAMES
-    found = [x for _, *values in NAMES.findall(attributes) for x in values]
-    return frozenset(WORDS.findall(CAMEL.sub(" ", html.unescape(" ".join(found))).lower())) if found else NO_NAMES
-
-
-def _never(tag: str, names: frozenset[str]) -> bool:
-    """Is the region named as no content?  Some words don't tell so beside a word for the main part."""
-    if tag in NEVER_TAGS:
-        return True
+        return NO_NAMES, NO_NAMES, False
+    words, telling, main = set(), set(), False
+    for name, *values in NAMES.findall(attributes):
+        own = [set(WORDS.findall(CAMEL.sub(" ", x).lower())) for x in html.unescape("".join(values)).split()]
+        words.update(*own)
+        if name.lower() != "id":
+            telling.update(*own)
+            main = main or any(x and x <= MAIN_WORDS for x in own)
+    return frozenset(words), frozenset(telling), main
+
+
+def _said(names: frozenset[str]) -> bool:
+    """Do the words name a region that is no content?  Some don't tell so beside a word for the main part."""
     said = NEVER_WORDS & names
     return bool(said - UNSURE_WORDS) or bool(said) and not MAIN_WORDS & names
 
 
+def _named(tag: str, names: frozenset[str], telling: frozenset[str], main: bool, inside: bool) -> float:
+    """Log-odds by the names of an element; `inside` an article, a header belongs to it."""
+    if tag in ROOTS or tag in HEADINGS:
+        return 0.0
+    if inside and tag == "header":
+        names, telling = names - {"header"}, telling - {"header"}
+    elif tag in NEVER_TAGS:
+        return NAMED
+    if not _said(names):
+        return 0.0
+    # A section's id is its title's words, an inline element's a place to link to.
+    by_id = (tag == "section" or tag not in BLOCK) and not _said(telling)
+    return MAYBE if by_id or main else NAMED
+
+
+def _regions(nodes: list[Node]) -> None:
+    """Mark what is in named regions; an element around most of the text is none, unless the main part is beside it."""
+    held = [n.text for n in nodes]
+    mains, around = [n.tag in MAIN_TAGS for n in nodes], [0] * len(nodes)
+    for i in range(len(nodes) - 1, 0, -1):
+        held[nodes[i].parent] += held[i]
+        mains[nodes[i].parent] += mains[i]
+    for i, node in enumerate(nodes[1:], 1):
+        around[i] = around[node.parent] + (nodes[node.parent].tag in MAIN_TAGS)
+        if node.named and 2 * held[i] > held[0] and mains[i] + around[i] == mains[0]:
+            node.named = 0.0
+        node.region = nodes[node.parent].region or node.named == NAMED
+
+
 def parse(source: str) -> Page:
     """Block elements as nodes, parents first, and the text blocks with the node that holds each."""
     page = Page([Node(-1, "root", NO_NAMES)])
@@ -137,11 +178,14 @@ def parse(source: str) -> Page:
             if within and tag in within:
                 return
 
-    def begin(tag: str, names: frozenset[str]) -> None:
+    def begin(tag: str, names: frozenset[str], named: float) -> None:
         flush()
-        nodes.append(Node(stack[-1], tag, names, nodes[stack[-1]].never or _never(tag, names)))
+        nodes.append(Node(stack[-1], tag, names, named))
         stack.append(len(nodes) - 1)
 
+    def named_by(tag: str, found: tuple[frozenset[str], frozenset[str], bool]) -> float:
+        return _named(tag, *found, tag == "header" and any(nodes[i].tag in MAIN_TAGS for i in stack))
+
     for token in TOKEN.finditer(source):
         start = token.start()
         if start < at:  # inside an element of raw text
@@ -180,24 +224,26 @@ def parse(source: str) -> Page:
             if tag == "hr":
                 flush()
             else:
-                begin(tag, _names(attributes))
+                names = _names(attributes)
+                begin(tag, names[0], named_by(tag, names))
         elif tag in VOID:
             held.append(" ")
         elif tag == "a":
             link = 1
-        elif "=" in attributes and _never(tag, names := _names(attributes)):
+        elif "=" in attributes and nodes[stack[-1]].tag not in HEADINGS and (named := named_by(tag, names := _names(attributes))):
             inline.append((tag, len(stack)))
-            begin(tag, names)
+            begin(tag, names[0], named)
     if at < len(source):
         held.append(source[at:])
     flush()
+    _regions(nodes)
     return page
 
 
 def _seen(node: Node) -> list[str]:
-    """Features that are counted: of the element, unless a region's name decides, and of the text it holds directly."""
-    found = [] if node.never or node.tag in UNTELLING else [f"tag:{node.tag}"]
-    if not node.never:
+    """Features that are counted: of the element, unless a region's name tells, and of the text it holds directly."""
+    found = [] if node.region or node.tag in UNTELLING else [f"tag:{node.tag}"]
+    if not node.region:
         found += node.names
     if node.text:
         found.append("text:short" if node.text < 25 else "text:medium" if node.text < 80 else "text:long")
@@ -216,27 +262,31 @@ class Model:
         """Log-odds of content from the node alone."""
         if node.parent < 0:
             return ROOT
-        if node.never:
-            return NEVER
-        odds = sum(self.counted.get(f, 0.0) for f in _seen(node))
-        return odds + MAIN_TAG * (node.tag in MAIN_TAGS) + MAIN_WORD * (not MAIN_WORDS.isdisjoint(node.names))
+        odds = sum(self.counted.get(f, 0.0) for f in _seen(node)) + MAIN_WORD * (not MAIN_WORDS.isdisjoint(node.names))
+        if node.region:
+            odds += sum(self.counted.get(f, 0.0) for f in (f"tag:{node.tag}", *node.names))
+            return odds + min(node.named, INSIDE if node.text else 0.0)
+        return odds + node.named + MAIN_TAG * (node.tag in MAIN_TAGS)
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Log-odds of content for each node, from messages up and down the tree."""
-        on, off = 1 - self.stops, 1 - self.starts
         up = [self.own(n) for n in nodes]
         sent = [0.0] * len(nodes)
+        # In a region labels change as rarely as they can.
+        ties = [(FLOOR, FLOOR) if nodes[n.parent].region else (self.starts, self.stops) for n in nodes[1:]]
+        ties = [(starts, stops, 1 - stops, 1 - starts) for starts, stops in ties]
         for i in range(len(nodes) - 1, 0, -1):
-            if nodes[i].never:  # decided by its name, so it says nothing about its parent
+            node = nodes[i]
+            if node.region and not nodes[node.parent].region:
                 continue
+            starts, stops, on, off = ties[i - 1]
             e = math.exp(max(-30.0, min(30.0, up[i])))
-            sent[i] = math.log((on * e + self.stops) / (self.starts * e + off))
-            up[nodes[i].parent] += sent[i]
+            sent[i] = math.log((on * e + stops) / (starts * e + off))
+            up[node.parent] += sent[i]
         for i in range(1, len(nodes)):
-            if nodes[i].never:
-                continue
+            starts, stops, on, off = ties[i - 1]
             e = math.exp(max(-30.0, min(30.0, up[nodes[i].parent] - sent[i])))
-            up[i] += math.log((on * e + self.starts) / (self.stops * e + off))
+            up[i] += math.log((on * e + starts) / (stops * e + off))
         return up
 
     def text(self, source: str) -> str:
@@ -250,8 +300,8 @@ def _labels(page: Page) -> list[bool] | None:
     labels, named = [False], 0
     for node in page.nodes[1:]:
         inside = labels[node.parent]
-        named += node.tag in MAIN_TAGS and not inside and not node.never
-        labels.append((inside or node.tag in MAIN_TAGS) and not node.never)
+        named += node.tag in MAIN_TAGS and not inside and not node.region
+        labels.append((inside or node.tag in MAIN_TAGS) and not node.region)
     return labels if named == 1 else None
 
 
@@ -267,7 +317,7 @@ def train(sources: list[str]) -> Model:
         for node, label in zip(page.nodes[1:], labels[1:], strict=True):
             (content if label else other).update(_seen(node))
             totals[label] += 1
-            if not node.never:
+            if not node.region:
                 pairs[labels[node.parent], label] += 1
     counted = {}
     for f in {*content, *other}:
