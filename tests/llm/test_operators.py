@@ -53,6 +53,22 @@ def test_ids_are_those_of_the_library(path):
         assert encoder.encode(text) == encoder.whole(text)
 
 
+ADDED = ["see <|endoftext|> hi", "<|endoftext|>", "a<|startoftext|>b\n<|endoftext|> c", "<|ENDOFTEXT|> <|endoftext", "x <|endoftext|><|endoftext|>"]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_ids_are_those_of_the_library_as_it_comes(path):
+    encoder, library = Encoder(path), Tokenizer.from_file(path)
+    for text in ODD + ADDED:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, text
+
+
+def test_ids_of_added_tokens():
+    assert np.frombuffer(Encoder(BYTE).encode("see <|endoftext|> hi"), "<u4").tolist() == [3826, 220, 50256, 23105]
+    assert np.frombuffer(Encoder(WORD).encode("see <|endoftext|> hi"), "<u4").tolist() == [862, 49407, 1883]
+
+
 def check_packed(rows, size):
     by_sequence = {}
     for r in rows:
