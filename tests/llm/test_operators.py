@@ -299,6 +299,27 @@ def test_reworded_questions(spark):
     assert decontamination.leaks(docs.limit(0), benchmark).count() == decontamination.leaks(docs, benchmark.limit(0)).count() == 0
 
 
+def test_leaks_do_not_depend_on_the_number_of_like_items(spark):
+    start, end = "one day the old farmer went down to the market with his", "and sold it there to a merchant who lived near the river for some silver"
+    others = ["ox", "cow", "hen", "pig", "ram", "owl", "cat", "dog", "bee", "eel"]
+    for n in (50, 80):
+        variants = [f"{start} {others[i % 10]}{'abcdefgh'[i // 10]} {end}" for i in range(n)]
+        benchmark = spark.createDataFrame([*enumerate(variants), (100, "tiny hidden phrase"), (101, "route 66")], "item_id long, text string")
+        docs = [f"so {start} goat {end} again", "his oxa and sold it there to a man", "see this tiny hidden phrase here", "tiny phrase", "on route 66 now"]
+        found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(spark.createDataFrame([*enumerate(docs)], "doc_id long, text string"), benchmark).collect()}
+        assert found == {*((0, i) for i in range(n)), (2, 100), (4, 101)}
+
+
+def test_variants_with_other_values_are_told_apart(spark):
+    texts = [f"a farmer buys {i} sheep and sells {i if i % 2 else i + 1} sheep to a friend on the next day" for i in range(1, 81)]
+    benchmark = spark.createDataFrame([*enumerate(texts, 1)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1])], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["share"], r["reworded"]) for r in decontamination.leaks(docs, benchmark).collect()}
+    odd = range(1, 81, 2)
+    assert {i for d, i in found if d == 1} >= {*odd} and found[1, 1] == (1.0, False) and found[1, 3] == (1.0, True)
+    assert found[2, 2] == (1.0, False) and found[2, 4] == (1.0, True) and all(found.get((2, i), (0, 0))[0] < 1 for i in odd)
+
+
 # --- chat ---------------------------------------------------------------------------------------
 
 

@@ -2,14 +2,15 @@
 
 Numbers, names and units become typed placeholders, so that a question asked again with other
 values has the same template.  Windows of WINDOW template tokens are hash-joined with those of the
-benchmark.  Along one alignment of document and item, equal slots of the item must have equal values
+benchmark.  Items of one template are matched as one and told apart by their values afterwards, so that
+many variants of a question cost little more than one.  Along one alignment of document and item, equal slots of the item must have equal values
 in the document: a window of the same shape with unrelated values is no copy.  A document holds an
-item if windows that pass cover at least SHARE of the item's.
+item if windows that pass cover at least SHARE of the item's.  An item of fewer tokens is one window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from washline.llm.common import stage, text_or_empty
@@ -18,13 +19,7 @@ from washline.names import column
 WINDOW = 8
 SHARE = 0.5
 
-#: Items of fewer tokens name no passage and are not looked for.
-SHORTEST = 5
-
-#: A window in more items than this says little about any of them; it counts only for items that have no other.
-COMMON = 50
-
-#: So many windows of the benchmark, or marked documents, are broadcast at most (some 60 bytes each).
+#: So many windows or items of the benchmark, or marked documents, are broadcast at most (some 60 bytes each).
 MOST_BROADCAST = 500_000
 
 # Words for units, which are placeholders only right after a number.
@@ -77,58 +72,85 @@ def _templates(df: DataFrame, keys: list[str]) -> DataFrame:
     return words.select(*keys, F.struct(hashes.alias("t"), values.alias("v")).alias("tokens"))
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, of (windows the item is judged by), hash, size, item_place, item_slots, weight; each hash once per item."""
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, template (a hash of the template's tokens), of (its windows), tokens; each text once per item."""
     items = benchmark.select(column("item_id").alias("item_id"), text_or_empty().alias("text"))
-    tokens = _templates(items, ["item_id"]).where(F.size("tokens.t") >= SHORTEST).dropDuplicates(["item_id", "tokens"])
+    tokens = _templates(items, ["item_id"]).where(F.size("tokens.t") > 0).dropDuplicates(["item_id", "tokens"])
+    size = F.least(F.size("tokens.t"), F.lit(WINDOW))
+    return tokens.select("item_id", F.xxhash64("tokens.t").alias("template"), (F.size("tokens.t") - size + 1).alias("of"), "tokens")
+
+
+def _key(window: Column) -> Column:
+    """What a window is found by: its hash, and in a window of placeholders mostly, or a crowd of them, the very values."""
+    crowded = F.size(window["slots"]) * 2 > window["size"]
+    return F.when(crowded, F.xxhash64(window["hash"], window["slots"])).otherwise(window["hash"])
+
+
+def template_windows(items: DataFrame) -> DataFrame:
+    """template, of, hash, size, item_place, weight, key; each hash once per template, at its first place, with the keys of all its items."""
     size = F.least(F.size("tokens.t"), F.lit(WINDOW))
-    own = tokens.select("item_id", F.explode(windows_of(F.col("tokens"), size)).alias("w")).groupBy("item_id", "w.hash", "w.size")
-    own = own.agg(F.min(F.struct("w.place", "w.slots")).alias("first"), F.count("*").alias("weight"))
-    by_item = Window.partitionBy("item_id")
-    rows = own.withColumn("common", F.count("*").over(Window.partitionBy("hash")) > COMMON)
-    rows = rows.withColumn("only_common", F.min("common").over(by_item)).where("only_common or not common")
-    return rows.select(
-        "item_id",
-        F.sum("weight").over(by_item).alias("of"),
-        "hash",
-        "size",
-        F.col("first.place").alias("item_place"),
-        F.col("first.slots").alias("item_slots"),
-        "weight",
+    windows = items.select("template", "of", F.explode(windows_of(F.col("tokens"), size)).alias("w"))
+    windows = windows.select("template", "of", "w.hash", "w.size", F.col("w.place").alias("item_place"), _key(F.col("w")).alias("key")).distinct()
+    first = windows.groupBy("template", "hash").agg(F.min("item_place").alias("item_place"), F.count_distinct("item_place").alias("weight"))
+    return windows.join(first, ["template", "hash", "item_place"])
+
+
+def _judged(alignment: Column, values: Column) -> Column:
+    """consistent, reworded and matched (hash and weight of windows) of an alignment with the item of these slot values."""
+
+    def own(m: Column) -> Column:
+        return F.filter(F.slice(values, m["item_place"] + 1, m["size"]), lambda v: v.isNotNull())
+
+    passed = F.filter(alignment["matched"], lambda m: (F.size(own(m)) * 2 <= m["size"]) | m["slots"].eqNullSafe(own(m)))
+    slotted = F.filter(passed, lambda m: m["slots"].isNotNull())
+    pairs = F.array_distinct(F.flatten(F.transform(slotted, lambda m: F.zip_with(own(m), m["slots"], lambda a, b: F.struct(a.alias("a"), b.alias("b"))))))
+    return F.struct(
+        (F.size(F.array_distinct(F.transform(pairs, lambda p: p["a"]))) == F.size(pairs)).alias("consistent"),
+        F.exists(pairs, lambda p: p["a"] != p["b"]).alias("reworded"),
+        _weights(passed).alias("matched"),
     )
 
 
+def _weights(windows: Column) -> Column:
+    return F.transform(windows, lambda m: F.struct(m["hash"].alias("hash"), m["weight"].alias("weight")))
+
+
+def _share(matched: Column) -> Column:
+    """Of the template's windows, those in any of some arrays."""
+    return F.aggregate(F.array_distinct(F.flatten(matched)), F.lit(0).cast("bigint"), lambda n, m: n + m["weight"]) / F.col("of")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """doc_id (or `keys`), item_id, share, reworded: one row per document and item that it holds.
 
     `share` of the item's windows is found, `reworded` tells that some slot has another value.  Null
     texts count as empty, empty texts and items hold nothing; null ids are kept as ids; equal rows are
-    one.  Other columns are not looked at.
+    one.  An item of several texts is held with the one that is held most.  Other columns are not looked at.
     """
     keys = keys or ["doc_id"]
-    index = stage(benchmark_windows(benchmark), "benchmark-windows")
-    found = index.agg(F.count("*"), F.collect_set("size")).first()  # at most WINDOW - SHORTEST + 1 sizes
+    items = stage(benchmark_items(benchmark), "benchmark-items")
+    index = stage(template_windows(items), "benchmark-windows")
+    found = index.agg(F.count("*"), F.collect_set("size")).first()  # at most WINDOW sizes
     few = F.broadcast(index) if found[0] <= MOST_BROADCAST else index
     rows = docs.select(*(column(k).alias(f"k{i}") for i, k in enumerate(keys)), text_or_empty().alias("text"))
     own = [f"k{i}" for i in range(len(keys))]
     found_windows = [windows_of(F.col("tokens"), F.lit(n)) for n in sorted(found[1]) or [WINDOW]]
     windows = _templates(rows, own).select(*own, F.explode(F.concat(*found_windows)).alias("w"))
-    hits = windows.select(*own, "w.place", F.col("w.hash").alias("hash"), "w.slots").join(few, "hash")
-    # A window of placeholders mostly, or a crowd of them, needs the very values.
-    hits = hits.where((F.coalesce(F.size("item_slots"), F.lit(0)) * 2 <= F.col("size")) | F.col("slots").eqNullSafe(F.col("item_slots")))
+    hits = windows.select(*own, "w.place", "w.slots", _key(F.col("w")).alias("key")).join(few, "key")
     shift = (F.col("place") - F.col("item_place")).alias("shift")
-    pairs = F.when(F.col("slots").isNotNull(), F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")))
-    aligned = hits.groupBy(*own, "item_id", "of", shift).agg(
-        F.collect_set(F.struct("hash", "weight")).alias("matched"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-    )
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs")
-    reworded = F.exists("pairs", lambda p: p["a"] != p["b"])
-    whole = aligned.where(consistent).withColumn("reworded", reworded).groupBy(*own, "item_id", "of")
-    whole = whole.agg(F.array_distinct(F.flatten(F.collect_list("matched"))).alias("matched"), F.max("reworded").alias("reworded"))
-    share = F.aggregate("matched", F.lit(0).cast("bigint"), lambda n, m: n + m["weight"]) / F.col("of")
+    aligned = hits.groupBy(*own, "template", "of", shift).agg(F.collect_set(F.struct("item_place", "size", "hash", "weight", "slots")).alias("matched"))
+    whole = aligned.groupBy(*own, "template", "of").agg(F.collect_list(F.struct("matched")).alias("alignments"))
+    # Only templates of which enough is found, whatever the values, are told apart by item.
+    whole = whole.where(_share(F.transform("alignments", lambda a: _weights(a["matched"]))) >= SHARE)
+    own_items = items.select("template", "item_id", F.col("tokens.v").alias("values"))
+    own_items = F.broadcast(own_items) if items.count() <= MOST_BROADCAST else own_items
+    judged = whole.join(own_items, "template").withColumn("alignments", F.transform("alignments", lambda a: _judged(a, F.col("values"))))
+    judged = judged.withColumn("alignments", F.filter("alignments", lambda a: a["consistent"] & (F.size(a["matched"]) > 0)))
+    share = _share(F.transform("alignments", lambda a: a["matched"]))
+    judged = judged.select(*own, "item_id", share.alias("share"), F.exists("alignments", lambda a: a["reworded"]).alias("reworded"))
+    best = judged.where(F.col("share") >= SHARE).groupBy(*own, "item_id").agg(F.max("share").alias("share"), F.max_by("reworded", "share").alias("reworded"))
     named = [F.col(f"k{i}").alias(k) for i, k in enumerate(keys)]
-    return whole.select(*named, "item_id", share.alias("share"), "reworded").where(F.col("share") >= SHARE)
+    return best.select(*named, "item_id", "share", "reworded")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
