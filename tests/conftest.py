@@ -11,8 +11,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from washline.settings import RECOMMENDED  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -51,21 +49,3 @@ def csv_file(tmp_path):
         return str(path)
 
     return write
-
-
-def column_values(df, name):
-    """Values of a column in the order of the `row` column."""
-    return [r[name] for r in df.orderBy("row").collect()]
-
-
-def texts(spark, values, name="x"):
-    return spark.createDataFrame(list(enumerate(values)), f"row int, `{name}` string")
-
-
-def write_out(df):
-    """Evaluates every column, which `count()` would not."""
-    df.write.format("noop").mode("overwrite").save()
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SMALL, plan_of
+from helpers import SMALL, plan_of
 
 import __spark_entry__
 from washline import catalog

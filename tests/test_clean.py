@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from conftest import column_values, plan_of, texts, write_out
+from helpers import column_values, plan_of, texts, write_out
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

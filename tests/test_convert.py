@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import column_values, texts, write_out
+from helpers import column_values, texts, write_out
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

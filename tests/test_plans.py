@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SMALL, plan_of, write_out
+from helpers import SMALL, plan_of, write_out
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Routing, taking, changing and merging branches."""
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from washline.operators import (

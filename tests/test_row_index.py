@@ -3,7 +3,7 @@
 import glob
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 from pyspark.sql import functions as F
 
 from washline.operators import row_index, with_row_index
