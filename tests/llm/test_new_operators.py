@@ -1,0 +1,257 @@
+"""Ranked search, licence scans and hard negatives against brute force, with edge cases."""
+
+import math
+import random
+import re
+import sys
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+from washline.llm import license_rules, licenses, negatives, queries, search  # noqa: E402
+
+MIDDLE = "/root/testdata/sf0.01"
+A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# --- ranked search ------------------------------------------------------------------------------
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(A_Z))
+
+
+def ranked(docs, items, top):
+    counted = [(i, Counter(terms(t))) for i, t in docs if terms(t)]
+    n, total = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * k + 1))) for t, k in df.items()}
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(terms(text))
+    out = []
+    for item, own in asked.items():
+        scores = []
+        for i, c in counted:
+            m = 50 + 50 * c.total() * n // total
+            scores.append((-sum(weight[t] * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in own & c.keys()), i is None, i))
+        best = sorted(s for s in scores if s[0] < 0)[:top]
+        out += [(item, k + 1, i, -s) for k, (s, _, i) in enumerate(best)]
+    return sorted(out, key=repr)
+
+
+def found_by_search(spark, docs, items, top, **how):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, `term` string, score int")
+    items = spark.createDataFrame([(i, t, "y") for i, t in items], "item_id long, text string, doc_id string")
+    return sorted(map(tuple, search.search(docs, items, top, **how).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_against_brute_force(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(150)] + ["É", "naïve", "ΑΣ", "日本"]
+    common = rng.choices(words, [1 / (i + 1) for i in range(len(words))], k=30_000)
+    at = lambda n: " ".join(common[(s := rng.randrange(29_000)) : s + n])
+    docs = [(i, at(rng.randrange(0, 60))) for i in range(400)] + [(None, at(9)), (5, at(9)), (5, docs_copy := at(30)), (6, docs_copy), (7, docs_copy)]
+    items = [(i, at(rng.choice([1, 3, 20, 120]))) for i in range(12)] + [(2, at(4)), (None, at(5))]
+    if seed % 2:  # small blocks and several groups of items
+        monkeypatch.setattr(search, "BLOCK", 50)
+        monkeypatch.setattr(search, "TERMS_AT_ONCE", 200)
+    top = rng.choice([1, 5, 50])
+    assert found_by_search(spark, docs, items, top) == ranked(docs, items, top)
+
+
+def test_search_edge_cases(spark):
+    long = "word " * 200_000 + "needle"
+    docs = [(None, None), (1, ""), (2, "!!"), (3, "Needle"), (4, "needle"), (4, "needle"), (5, long), (None, "needle"), (6, "K ſ"), (7, "\x00a\x7fb")]
+    items = [(1, "needle"), (2, None), (3, ""), (4, "absent"), (None, "a b"), (5, "k s"), (6, "NEEDLE needle!")]
+    assert found_by_search(spark, docs, items, 50) == ranked(docs, items, 50)
+    assert found_by_search(spark, docs, [], 50) == [] and found_by_search(spark, [], items, 50) == []
+    # Every document holds the term: its weight may fall to 0, and then nothing is found.
+    same = [(i, "x") for i in range(2000)]
+    assert found_by_search(spark, same, [(1, "x")], 3) == ranked(same, [(1, "x")], 3) == []
+
+
+def test_masks_are_evaluated_until_safely_finished():
+    """Groups whose highest score cannot reach the best are not evaluated."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(1, 6, 3000)
+    held = np.concatenate([rng.choice(40, n, replace=False) for n in sizes])
+    block = search._Block(np.full(3000, 50), sizes, held, np.ones(len(held), np.int64), 3000, 150_000, np.arange(100, 4100, 100))
+    evaluated, whole = [], block.scores
+    block.scores = lambda terms, wanted: (evaluated.append(int(wanted.sum())), whole(terms, wanted))[1]
+    docs, scores = block.best(np.arange(40), 10, 1)
+    every = whole(np.arange(40), np.ones(3000, bool))
+    assert sorted(scores)[-10:] == sorted(every)[-10:] and set(docs) >= set(np.flatnonzero(every >= sorted(every)[-10]))
+    assert sum(evaluated) < 1500
+
+
+# --- licence scans ------------------------------------------------------------------------------
+
+
+def scanned(text):
+    """Every rule on every text, without keywords, and every pair of matches."""
+    words = re.findall(licenses.WORD, (text or "").translate(A_Z))
+    spaced = "".join(f" {w} " for w in words)
+    found = []
+    for number, rule in enumerate(license_rules.RULES):
+        for m in re.finditer(licenses.over_spaced(rule.pattern), spaced):
+            found.append((spaced.count(" ", 0, m.start()) // 2, spaced.count(" ", 0, m.end()) // 2, rule.level, number, rule))
+
+    def covered(a):
+        return any(b[0] <= a[0] and b[1] >= a[1] and b[2] <= a[2] and (b[2] < a[2] or (b[0], b[1]) != (a[0], a[1]) or b[3] < a[3]) for b in found)
+
+    base = [f for f in found if f[4].base]
+    kept = {(f[2], f[4].label) for f in found if not covered(f)}
+    doubt = math.prod(licenses.DOUBT[level] for level, _ in kept)
+    labels = sorted({label for _, label in kept} | {f[4].label for f in base})
+    starts = [f[0] for f in base]
+    return (len(words), len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted({f[4].label for f in base})), ",".join(labels), 1 - doubt)
+
+
+NOTICES = [
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not",
+    "This work is licensed under the GNU General Public License, version 3.",
+    "GPLv3 or GPL-2.0-or-later; the GNU GPL, version 2 or (at your option) any later version",
+    "under CC BY-NC 4.0, cc by, CC-BY-SA-3.0, Creative Commons Attribution-ShareAlike 2.5 and CC0 1.0",
+    "Released under the MIT License. Copyright (c) 2011 2012 A. All rights reserved. all rights\n reserved",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted. 3-clause BSD license",
+    "cc by cc by cc cc by", "accbya CC_BY cc\tby éCC by CC byé", "permit limits; example accident gplx",
+    "GNU Affero General Public License v3.0 MPL-2.0 EPL 2.0 Eclipse Public License 1.0",
+]
+
+
+def test_scan_against_brute_force(spark):
+    rng = random.Random(3)
+    fillers = ["und", "the", "version", "license", "2", "0", "public", "or", "later", "gpl", "mit", "=", "naïve"]
+    texts = [None, "", " \x00 ", *NOTICES, " ".join(NOTICES), "x " * 50_000 + "cc by 4.0 " * 3000]
+    for _ in range(300):
+        parts = [rng.choice(NOTICES if rng.random() < 0.4 else fillers) for _ in range(rng.randrange(1, 8))]
+        texts.append(rng.choice([" ", "\n", ", ", "-"]).join(parts))
+    rows = [(i if i % 7 else None, t, "r", 0) for i, t in enumerate(texts)] + [(4, texts[4], "r", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rule string, `row` int")
+    found = sorted(map(tuple, licenses.scan(docs).collect()), key=repr)
+    assert found == sorted(((i, *scanned(t)) for i, t, *_ in rows), key=repr)
+    assert licenses.scan(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (NOTICES[0], "apache-2.0"),
+        ("the gnu general public license version 3", "gpl,gpl-3.0"),
+        ("GPL-2.0-or-later", "gpl-2.0-or-later"),
+        ("CC BY-NC 4.0", "cc-by,cc-by-nc-4.0"),
+        ("the MIT license", "mit"),
+        ("nothing of the kind", ""),
+    ],
+)
+def test_labels(spark, text, labels):
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["labels"] == labels
+
+
+def example_of(pattern, pick):
+    """A text that a pattern matches: one of each choice, optional parts by `pick`."""
+    import re._constants as c
+    import re._parser as p
+
+    def of(items):
+        out = ""
+        for op, value in items:
+            if op is c.LITERAL:
+                out += chr(value)
+            elif op is c.NOT_LITERAL:
+                out += "q"
+            elif op is c.IN:
+                kind, what = value[0]
+                out += chr(what if kind is c.LITERAL else what[0])
+            elif op is c.SUBPATTERN:
+                out += of(value[3])
+            elif op is c.BRANCH:
+                out += of(value[1][pick(len(value[1]))])
+            elif op is c.MAX_REPEAT:
+                low, high, inner = value
+                out += "".join(of(inner) for _ in range(low + pick(min(high, low + 2) - low + 1)))
+            else:
+                raise AssertionError(op)
+        return out
+
+    return of(p.parse(pattern))
+
+
+def test_keywords_lose_no_match():
+    rng = random.Random(1)
+    assert len(license_rules.RULES) > 300
+    for rule in license_rules.RULES:
+        for _ in range(40):
+            text = " ".join(example_of(rule.pattern, rng.randrange).split())
+            for keyword in rule.keywords:
+                assert keyword[1:] in text.split() if keyword.startswith("=") else keyword in text, (rule, text)
+
+
+def test_scan_reads_texts_once_and_shuffles_no_text(spark):
+    plan = licenses.scan(spark.read.parquet(f"{MIDDLE}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+
+
+# --- hard negatives -----------------------------------------------------------------------------
+
+
+def mined(rows, positives=5, negatives=3):
+    """Of (id, label, vector of integers)."""
+    out = []
+    for a, label, x in rows:
+        if a % 50:
+            continue
+        scored = [(-sum(p * q for p, q in zip(x, y, strict=True)), i, other) for i, other, y in rows if i != a and len(y) == len(x)]
+        for p, positive, _ in sorted(s for s in scored if s[2] == label)[:positives]:
+            fits = sorted(s for s in scored if s[2] != label and 50 * -p <= 100 * -s[0] <= 95 * -p)[:negatives]
+            out += [(a, positive, k + 1, n, -p, -s) for k, (s, n, _) in enumerate(fits)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_negatives_against_brute_force(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    size = rng.choice([1, 3, 8])
+    rows = [(i, rng.randrange(3), [rng.randrange(-3, 9) for _ in range(size)]) for i in range(0, 500, rng.choice([1, 2]))]
+    rows += [(1000 + i, 1, [2] * size) for i in range(200)]  # copies tie
+    rows += [(3000 + i, 2, [2] * (size + 1)) for i in range(60)]  # another length
+    if seed % 2:  # many small blocks
+        monkeypatch.setattr(negatives, "ANCHORS_AT_ONCE", 4)
+        monkeypatch.setattr(negatives, "SCORES_AT_ONCE", 100)
+    table = spark.createDataFrame([(i, label, list(map(float, x))) for i, label, x in rows], "id long, label long, x array<double>").withColumn("slot", F.lit(1)).repartition(5)
+    found = negatives.hard_negatives(table, F.col("id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == mined(rows) != []
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 1, [0.5, 0.25]), (1, 1, [0.5, 0.25]), (1, 1, [0.5, 0.25]), (2, 2, [0.3, 0.2]), (3, None, [1.0, 1.0]), (4, 2, None)]
+    rows += [(5, 2, [nan, 1.0]), (6, 2, [inf, 1.0]), (7, 2, [None, 1.0]), (None, 2, [0.3, 0.2]), (8, 2, []), (9, 2, [-0.001, 0.0])]
+    given = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, label int, embedding array<double>, id string")
+    own = negatives.quantised(given)
+    assert sorted((r["id"], r["label"], r["x"]) for r in own.collect()) == [(0, 1, [128, 64]), (1, 1, [128, 64]), (2, 2, [76, 51]), (8, 2, []), (9, 2, [-1, 0])]
+    found = negatives.hard_negatives(own, F.col("id") % 50 == 0)
+    assert [tuple(r) for r in found.collect()] == [(0, 1, 1, 2, 128 * 128 + 64 * 64, 76 * 128 + 51 * 64)]
+    assert negatives.hard_negatives(negatives.quantised(given.limit(0)), F.col("id") % 50 == 0).collect() == []
+
+
+def test_large_components(spark):
+    rows = [(0, 1, [3e7, 1.0]), (1, 1, [3e7, 1.0]), (2, 2, [2e7, 1.0])]
+    table = spark.createDataFrame([(i, label, [x * 40 for x in v]) for i, label, v in rows], "id long, label long, x array<double>")
+    found = negatives.hard_negatives(table, F.col("id") == 0).collect()
+    assert [tuple(r)[3:] for r in found] == [(2, 1200000000**2 + 1600, 1200000000 * 800000000 + 1600)]
+
+
+@pytest.mark.parametrize("name", ["op11_presence_mask_search", "op12_license_scan", "op13_slot_hard_negatives"])
+def test_queries_have_sql(name):
+    assert name in queries.queries() and duckdb.extract_statements(queries.oracle_sql()[name])

@@ -524,4 +524,4 @@ def test_pipeline_stage_by_stage(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q).group(1)) for q in queries.queries()) == list(range(1, 14))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import washline
-from washline.llm import chat, decontamination, fingerprints, lm, packing, pages, quality, simhash, token_files, urls
+from washline.llm import chat, decontamination, fingerprints, license_rules, licenses, lm, negatives, packing, pages, quality, search, simhash, token_files, urls
 from washline.llm.common import text_or_empty
 from washline.staging import staging_path
 
@@ -109,6 +109,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=0)
 
 
+def op11_presence_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.quantised(given.withColumn("label", other), scale=256)
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0, positives=5, negatives=3, least_percent=50, most_percent=95)
+
+
 QUERIES: list[Query] = [
     op1_document_fingerprints,
     op2_template_decontamination,
@@ -120,6 +135,9 @@ QUERIES: list[Query] = [
     op8_class_ngrams,
     op9_quality_classifier,
     op10_best_fit_packing,
+    op11_presence_mask_search,
+    op12_license_scan,
+    op13_slot_hard_negatives,
 ]
 
 
@@ -146,5 +164,93 @@ from numbered group by conv_id
 """
 
 
+
+OP11_SQL = r"""
+with texts as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as terms from documents
+), docs as (select row_number() over () as place, doc_id, len(terms) as n, terms from texts where len(terms) > 0
+), totals as (select count(*) as docs, sum(n)::bigint as total from docs
+), held as (select place, doc_id, n, unnest(terms) as term from docs
+), counted as (select place, any_value(doc_id) as doc_id, any_value(n) as n, term, count(*) as tf from held group by place, term
+), known as (select term, count(*) as df from counted group by term
+), items as (
+    select distinct item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term from benchmark
+), scored as (
+    select item_id, place, any_value(doc_id) as doc_id,
+        sum(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)))::bigint * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::bigint as score
+    from items join known using (term) join counted using (term) cross join totals group by item_id, place
+), ranked as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+OP13_SQL = r"""
+with given as (
+    select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding as v from embeddings
+), rows as (
+    select id, label, list_transform(v, lambda x: floor(256 * x::double)) as x from given
+    where id is not null and label is not null and v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.id as anchor, b.id as other, a.label = b.label as same, list_dot_product(a.x, b.x)::bigint as score
+    from rows a join rows b on a.id % 50 = 0 and a.id <> b.id
+), positives as (
+    select * from (select anchor, other, score, row_number() over (partition by anchor order by score desc, other) as place from scored where same) where place <= 5
+), ranked as (
+    select p.anchor as anchor_id, p.other as positive_id, n.other as negative_id, p.score as positive_score, n.score as negative_score,
+        row_number() over (partition by p.anchor, p.other order by n.score desc, n.other)::int as rank
+    from positives p join scored n on p.anchor = n.anchor and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op12_sql() -> str:
+    """The scan over the same table of rules, each tried on every text that has its keywords."""
+    rows = ", ".join(
+        f"({i}, {r.level}, {_quoted(r.label)}, {str(r.base).lower()}, {_quoted(licenses.over_spaced(r.pattern))}, [{', '.join(_quoted(k.removeprefix('=')) for k in r.keywords)}])"
+        for i, r in enumerate(license_rules.RULES)
+    )
+    levels = range(len(licenses.DOUBT))
+    farthest = " ".join(f"when {n} then max(stop) filter (level <= {n}) over before" for n in levels)
+    doubt = " * ".join(f"pow({x}, count(distinct label) filter (kept and level = {n}))" for n, x in enumerate(licenses.DOUBT))
+    return rf"""
+with rules(rule, level, label, base, pattern, keywords) as (values {rows}
+), texts as (
+    select row_number() over () as place, doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as n_words,
+        lower(coalesce(text, '')) as lowered,
+        ' ' || trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g')) || ' ' as spaced
+    from documents
+), tried as (
+    select place, rule, level, label, base, regexp_extract_all(spaced, pattern) as found, string_split_regex(spaced, pattern) as gaps
+    from texts, rules where len(list_filter(keywords, lambda k: not contains(lowered, k))) = 0
+), parts as (
+    select * exclude (found, gaps), unnest(range(1, len(found) + 1)) as nth, unnest(found) as found, unnest(gaps[1:len(found)]) as gap from tried where len(found) > 0
+), sized as (
+    select *, length(found) - length(replace(found, ' ', '')) as size, length(gap) - length(replace(gap, ' ', '')) as room from parts
+), spans as (
+    select *, upto // 2 as stop, upto // 2 - size // 2 as start from (select *, (sum(size + room) over (partition by place, rule order by nth))::bigint as upto from sized)
+), judged as (
+    select *, coalesce(case level {farthest} end >= stop, false) as hidden
+    from spans window before as (partition by place order by start, stop desc, level, rule rows between unbounded preceding and 1 preceding)
+), detected as (select *, not hidden as kept from judged)
+select doc_id, any_value(n_words)::bigint as n_words, count(*) filter (base) as n_base,
+    (min(start) filter (base))::bigint as first_word, (max(start) filter (base))::bigint as last_word,
+    coalesce(string_agg(distinct label, ',' order by label) filter (base), '') as base_labels,
+    coalesce(string_agg(distinct label, ',' order by label) filter (base or kept), '') as labels,
+    1 - {doubt} as score
+from texts left join detected using (place) group by place, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_prefix_target_chat": OP4_SQL}
+    return {
+        "op4_prefix_target_chat": OP4_SQL,
+        "op11_presence_mask_search": OP11_SQL,
+        "op12_license_scan": _op12_sql(),
+        "op13_slot_hard_negatives": OP13_SQL,
+    }
