@@ -31,9 +31,8 @@ def in_order(names, rows):
     return sorted(repr(tuple(row[i] for i in places)) for row in rows)
 
 
-def test_every_query_but_the_file_ones_has_sql():
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == FILE_QUERIES
-    assert set(catalog.oracle_sql()) <= set(catalog.queries())
+def test_every_query_has_sql():
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -43,19 +42,14 @@ def test_query_equals_sql(spark, duck, name):
     names = [d[0] for d in wanted.description]
     assert sorted(df.columns) == sorted(names)
     assert in_order(df.columns, map(tuple, df.collect())) == in_order(names, wanted.fetchall())
+    if name in FILE_QUERIES:  # tasks open files in Python
+        return
     plan = plan_of(df)
     for costly in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert costly not in plan
     assert ("Exchange" in plan) == (name in SHUFFLING)
 
 
-@pytest.mark.parametrize("name", sorted(FILE_QUERIES))
-def test_file_queries_see_every_table(spark, name):
-    rows = catalog.queries()[name](spark, SMALL).collect()
-    assert {r["path"].rsplit("/", 1)[1] for r in rows} == {f"{t}.parquet" for t in TABLES}
-    assert all(r["ok"] for r in rows if name == "land_and_verify")
-
-
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 6000
 

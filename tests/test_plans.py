@@ -1,6 +1,7 @@
 """Whole jobs: cleaning, publishing, streaming, table writing, settings."""
 
 import datetime as dt
+from urllib.parse import unquote
 
 import pytest
 from helpers import SMALL, plan_of, write_out
@@ -15,7 +16,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
 from washline.streaming import ingest_stream
-from washline.streaming.ingest import ONCE
+from washline.streaming.ingest import ONCE, read_ledger
 
 COLUMNS = (
     "STORE_ID string, STORE_LOCATION string, PRODUCT_CATEGORY string, PRODUCT_ID string, "
@@ -179,7 +180,7 @@ def test_stream_takes_new_files_once(spark, tmp_path):
     assert spark.read.parquet(sink).select("batch_id").distinct().count() == 3
     (landing / "late.csv").write_text("a,b\n99,z\n")
     run_stream(spark, tmp_path, ["a", "b"], lambda df: df)
-    out = spark.read.parquet(sink).drop("batch_id")
+    out = spark.read.parquet(sink).drop("run", "batch_id")
     wanted = [(str(i), "x") for i in range(3)] + [(str(i + 10), None) for i in range(3)] + [("99", "z")]
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(wanted, key=repr)
     run_stream(spark, tmp_path, ["a", "b"], lambda df: df)
@@ -220,7 +221,7 @@ def test_stream_equals_batch(spark, tmp_path):
     dirty = dirty_transactions(spark, SMALL)
     write_object_csv(dirty.repartition(3), str(tmp_path), "landing", "")
     run_stream(spark, tmp_path, dirty.columns, clean_store_transactions, trigger=ONCE)
-    stream = spark.read.parquet(str(tmp_path / "sink")).drop("batch_id")
+    stream = spark.read.parquet(str(tmp_path / "sink")).drop("run", "batch_id")
     batch = clean_store_transactions(
         dirty.withColumns({c: F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")})
     )
@@ -247,3 +248,74 @@ def test_staging_folder():
 
 def test_number_of_missing_value_tokens():
     assert len(NA_TOKENS) == len(set(NA_TOKENS)) == 19
+
+
+# --- the stream's ledger ----------------------------------------------------------------------
+
+
+@pytest.fixture
+def landing(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+
+    def land(name, text):
+        (folder / name).write_text(text)
+
+    return land
+
+
+def taken(spark, tmp_path):
+    out = spark.read.parquet(str(tmp_path / "sink")).drop("run", "batch_id")
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def plain(df):
+    return df
+
+
+def test_ledger_names_files_headers_and_rows(spark, tmp_path, landing):
+    landing("a.csv", "a,b\n1,x\n2,y\n")
+    landing("b 3%20 é.csv", "b,a\nz,3\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain)
+    assert taken(spark, tmp_path) == [("1", "x"), ("2", "y"), ("3", "z")]
+    ledger = read_ledger(spark, str(tmp_path / "sink"))
+    found = sorted((unquote(r["file"]).rsplit("/", 1)[1], r["header"], r["rows"], r["batch_id"]) for r in ledger.collect())
+    assert found == [("a.csv", "a,b", 2, 0), ("b 3%20 é.csv", "b,a", 1, 0)]
+
+
+def test_a_lost_checkpoint_adds_no_row_twice(spark, tmp_path, landing):
+    for i in range(3):
+        landing(f"f{i}.csv", f"a,b\n{i},x\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain, max_files_per_trigger=1)
+    (tmp_path / "checkpoint").rename(tmp_path / "lost")
+    landing("late.csv", "a,b\n9,y\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain, max_files_per_trigger=2)
+    assert taken(spark, tmp_path) == [("0", "x"), ("1", "x"), ("2", "x"), ("9", "y")]
+    assert read_ledger(spark, str(tmp_path / "sink")).count() == 4
+
+
+def test_rows_without_a_ledger_do_not_count(spark, tmp_path, landing):
+    """As after a failure between a batch's rows and its ledger, with the checkpoint lost as well."""
+    landing("a.csv", "a,b\n1,x\n")
+    landing("b.csv", "a,b\n2,x\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain, max_files_per_trigger=1)
+    ledgers = sorted((tmp_path / "sink" / "_ledger").glob("run=*/batch_id=*"))
+    ledgers[1].rename(tmp_path / "gone")
+    (tmp_path / "checkpoint").rename(tmp_path / "lost")
+    run_stream(spark, tmp_path, ["a", "b"], plain)
+    assert taken(spark, tmp_path) == [("1", "x"), ("2", "x")]
+    assert read_ledger(spark, str(tmp_path / "sink")).count() == 2
+
+
+@pytest.mark.parametrize("bad", ["a,c\n5,6\n", "a\n5\n", "a,b,c\n5,6,7\n", "5,6\n7,8\n"])
+def test_a_wrong_header_stops_the_batch(spark, tmp_path, landing, bad):
+    landing("a.csv", "a,b\n1,x\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain)
+    landing("bad.csv", bad)
+    landing("good.csv", "a,b\n2,x\n")
+    with pytest.raises(Exception, match="header of .*bad.csv|more than 2 fields"):
+        run_stream(spark, tmp_path, ["a", "b"], plain)
+    assert taken(spark, tmp_path) == [("1", "x")]
+    landing("bad.csv", "b,a\n6,5\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain)
+    assert taken(spark, tmp_path) == [("1", "x"), ("2", "x"), ("5", "6")]

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+from pathlib import Path
 
 import pytest
 from helpers import SMALL, plan_of, write_out
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from washline.operators import apply_types, normalize_nulls, profile_types
 from washline.plans import land_and_verify, verify_landing
 from washline.sinks import write_object_csv
+from washline.sources.csv import file_headers
+from washline.sources.files import _url_like, landed_chunks, restore_files
 from washline.sources import (
     classify_read_error,
     dedupe_header,
@@ -282,6 +285,76 @@ def test_profile_refuses_a_table_without_text(spark):
         profile_types(spark.range(1))
 
 
+# --- headers of several files -------------------------------------------------------------------
+
+
+@pytest.fixture
+def csv_folder(tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+
+    def write(**files):
+        for name, text in files.items():
+            (folder / f"{name}.csv").write_bytes(text.encode())
+        return str(folder)
+
+    return write
+
+
+def test_columns_in_another_order(spark, csv_folder):
+    path = csv_folder(
+        a="id,price,t\n1,10,x\n",
+        b='price,"id",t\r\n20,2,"a,b"\r\n21,3,\r\n',
+        c="\n \nt,price,id\ny,40,4\n",
+        d='"id",price,t\n5,50,z\n',
+        empty="",
+        only_header="t,id,price\n",
+        longest="id,price,t\n" + "".join(f"{i},{i * 10},l\n" for i in range(100, 3000)),
+    )
+    wanted = {1: (10, "x"), 2: (20, "a,b"), 3: (21, None), 4: (40, "y"), 5: (50, "z")}
+    wanted |= {i: (i * 10, "l") for i in range(100, 3000)}
+    df = read_csv_table(spark, path)
+    assert {r["id"]: (r["price"], r["t"]) for r in df.collect()} == wanted and df.count() == len(wanted)
+    assert sorted(df.columns) == ["id", "price", "t"] and read_csv_table(spark, path, columns=["t"]).columns == ["t"]
+
+
+@pytest.mark.parametrize(
+    "other", ["3,30\n4,40\n", "id\n7\n", "id,price,more\n1,2,3\n", "id,cost\n1,2\n", "id,Price\n1,2\n", "id,id\n1,2\n"]
+)
+def test_files_with_other_columns_are_refused(spark, csv_folder, other):
+    path = csv_folder(a="id,price\n1,10\n", b="price,id\n20,2\n", c=other)
+    with pytest.raises(ValueError, match="header of .*csv is"):
+        read_csv_table(spark, path, typed=False)
+
+
+def test_header_is_read_from_the_first_block_of_a_file(spark, csv_folder):
+    """Of a file in several blocks, whichever task comes first."""
+    lines = "".join(f"{i},p{i}\n" for i in range(20_000))
+    path = csv_folder(a="id,price\n" + lines, b="price,id\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = read_csv_table(spark, path, typed=False)
+        assert df.rdd.getNumPartitions() > 8
+        assert df.where("id like 'p%'").count() == 20_000 or df.where("price like 'p%'").count() == 20_000
+        headers = {r["file"].rsplit("/", 1)[1]: r["header"] for r in file_headers(spark, path).collect()}
+        assert headers == {"a.csv": "id,price", "b.csv": "price,id"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_more_orders_than_files_in_one_look(spark, csv_folder):
+    rng = random.Random(2)
+    names, files, wanted = list("abcdefg"), {}, []
+    for i in range(40):
+        own = rng.sample(names, len(names))
+        row = {n: f"{n}{i}" for n in names}
+        files[f"f{i}"] = ",".join(own) + "\n" + ",".join(row[n] for n in own) + "\n"
+        wanted.append(tuple(row[n] for n in names))
+    df = read_csv_table(spark, csv_folder(**files), typed=False)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(wanted)
+
+
 # --- files ------------------------------------------------------------------------------------
 
 
@@ -329,17 +402,90 @@ def test_unusual_file_names(spark, tmp_path):
 def test_checksums(spark, folder):
     found = {r["path"]: (r["length"], r["sha256"]) for r in file_checksums(spark, str(folder)).collect()}
     assert found == on_disk(folder)
-    with pytest.raises(AnalysisException):
+    with pytest.raises(PySparkException, match="no such file or folder"):
         file_checksums(spark, str(folder / "absent.bin")).collect()
+    assert file_checksums(spark, str(folder / "f3.bin")).count() == 1
 
 
 def test_landing(spark, folder, tmp_path):
     landing = str(tmp_path / "landing")
     landed = land_files(spark, str(folder), landing)
-    assert {r["path"]: (len(r["content"]), r["sha256"]) for r in landed.collect()} == on_disk(folder)
+    assert {r["path"]: (r["length"], r["sha256"]) for r in landed.collect()} == on_disk(folder)
     assert all(r["ok"] for r in verify_landing(spark, str(folder), landing).collect())
 
 
+@pytest.mark.parametrize("chunk", [1, 999, 1000, 5000, 1 << 20])
+def test_files_above_the_chunk_size(spark, folder, tmp_path, chunk):
+    if chunk == 1:
+        for i in range(1, 12):
+            (folder / f"f{i}.bin").write_bytes(bytes(range(3 * i)))
+    landing = str(tmp_path / "landing")
+    out = land_and_verify(spark, str(folder), landing, chunk=chunk).collect()
+    assert {r["path"]: (r["length"], r["sha256"]) for r in out} == on_disk(folder) and all(r["ok"] for r in out)
+    chunks = {}
+    for r in landed_chunks(spark, landing).collect():
+        assert 0 < len(r["content"]) <= chunk
+        chunks.setdefault(r["path"], []).append((r["number"], bytes(r["content"])))
+    for path, (size, _) in on_disk(folder).items():
+        own = sorted(chunks.get(path, []))
+        assert [n for n, _ in own] == list(range(-(-size // chunk)))
+        assert b"".join(c for _, c in own) == Path(path.removeprefix("file:")).read_bytes()
+
+
+def test_lost_or_exchanged_chunks_are_found(spark, folder, tmp_path):
+    landing, bad = str(tmp_path / "landing"), str(tmp_path / "bad")
+    land_files(spark, str(folder), landing, chunk=1000)
+    spark.read.parquet(f"{landing}/files").write.parquet(f"{bad}/files")
+    moved = F.when(F.col("path").endswith("f7.bin"), 6 - F.col("number")).otherwise(F.col("number"))
+    lost = F.col("path").endswith("f5.bin") & (F.col("number") == 4)
+    twice = spark.read.parquet(f"{landing}/chunks").where(F.col("path").endswith("f9.bin"))
+    kept = spark.read.parquet(f"{landing}/chunks").where(~lost).withColumn("number", moved)
+    kept.unionByName(twice).write.parquet(f"{bad}/chunks")
+    out = verify_landing(spark, str(folder), bad).collect()
+    assert len(out) == 12
+    assert {r["path"].rsplit("/", 1)[1] for r in out if not r["ok"]} == {f"f{i}.bin" for i in (5, 7, 9)}
+
+
+def test_restored_files(spark, folder, tmp_path):
+    landing, back = str(tmp_path / "landing"), tmp_path / "back"
+    land_files(spark, str(folder), landing)
+    found = restore_files(landed_chunks(spark, landing), str(back)).collect()
+    assert len(found) == 11  # an empty file has no chunk
+    assert {p.name: p.read_bytes() for p in back.iterdir()} == {
+        p.name: p.read_bytes() for p in folder.iterdir() if p.stat().st_size
+    }
+    land_files(spark, str(folder), landing, chunk=500)
+    with pytest.raises(PySparkException, match="several chunks"):
+        restore_files(landed_chunks(spark, landing), str(tmp_path / "other")).collect()
+
+
+def test_names_stay_out_of_the_driver(spark, folder, tmp_path):
+    """The plans hold the root's name and no other."""
+    for i in range(3):
+        (folder / f"deep{i}").mkdir()
+        (folder / f"deep{i}" / "inner.bin").write_bytes(b"x")
+    df = file_checksums(spark, str(folder), recursive=True)
+    plan = df._jdf.queryExecution().toString()
+    assert "f3.bin" not in plan and "inner" not in plan and df.count() == 15
+
+
+def test_opener_of_the_caller(spark, folder):
+    from pyarrow import fs
+
+    def opener(url):
+        return fs.SubTreeFileSystem("/", fs.LocalFileSystem()), url.removeprefix("file:/")
+
+    found = file_checksums(spark, str(folder), opener=opener).collect()
+    assert {r["sha256"] for r in found} == {h for _, h in on_disk(folder).values()}
+
+
+def test_urls_of_object_stores():
+    assert _url_like("s3a://bucket/a", "bucket/a/b c.txt") == "s3a://bucket/a/b c.txt"
+    assert _url_like("hdfs://name:8020/a", "/a/b") == "hdfs://name:8020/a/b"
+    assert _url_like("abfss://box@account.dfs.core.windows.net/a", "box/a/b") == "abfss://box@account.dfs.core.windows.net/a/b"
+    assert _url_like("file:/a", "/a/b") == "file:/a/b"
+
+
 @pytest.mark.parametrize("rehash", [False, True])
 def test_verification_finds_every_change(spark, folder, tmp_path, rehash):
     landing = str(tmp_path / "landing")
@@ -372,7 +518,8 @@ def test_rehashing_sees_through_a_kept_time(spark, folder, tmp_path):
 def test_damaged_landing_is_found(spark, folder, tmp_path):
     good, landing = str(tmp_path / "good"), str(tmp_path / "landing")
     broken = F.when(F.col("path").endswith("f7.bin"), F.lit(b"z")).otherwise(F.col("content"))
-    land_files(spark, str(folder), good).withColumn("content", broken).write.parquet(landing)
+    land_files(spark, str(folder), good).write.parquet(f"{landing}/files")
+    landed_chunks(spark, good).withColumn("content", broken).write.parquet(f"{landing}/chunks")
     out = verify_landing(spark, str(folder), landing).collect()
     assert [r["path"].rsplit("/", 1)[1] for r in out if not r["ok"]] == ["f7.bin"]
 

@@ -12,6 +12,9 @@ TRIM = rf"'^{EDGE}|{EDGE}$', '', 'g'"
 WHOLE = r"'^\s*[+-]?[0-9]+\s*$'"
 DECIMAL = r"'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
 
+# A page as a file.
+PAGE_FILE = "page_id::varchar || '.html' as name, strlen(coalesce(html, '')) as length"
+
 
 def _money(column: str) -> str:
     return f"""round_even(replace(replace("{column}", '$', ''), ',', '')::double * 100, 0) / 100"""
@@ -226,4 +229,15 @@ def oracle_sql() -> dict[str, str]:
         "stream_clean": f"""
             select * replace (l_linenumber::bigint as l_linenumber) from ({_cleaned("'nan'")})
         """,
+        "list_files": f"select {PAGE_FILE} from pages",
+        "file_checksums": f"select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256 from pages",
+        "land_files": f"""
+            select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256,
+                   ceil(strlen(coalesce(html, '')) / 4096)::bigint as chunks,
+                   strlen(coalesce(html, '')) as landed_bytes
+            from pages
+        """,
+        "land_and_verify": f"""
+            select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256, true as ok from pages
+        """,
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from washline.catalog.dirty import dirty_transactions, table
@@ -47,7 +47,7 @@ from washline.plans import (
 )
 from washline.sinks import preview, write_object_csv, write_table
 from washline.sources import file_checksums, list_files, read_csv_table, read_object_csv
-from washline.sources.files import land_files
+from washline.sources.files import land_files, landed_chunks, restore_files
 from washline.staging import staging_path
 from washline.streaming import ingest_stream
 
@@ -394,7 +394,7 @@ def _streamed(
         spark, landing, df.columns, transform, sink, f"{root}/{bucket}/checkpoint"
     )
     query.awaitTermination()
-    return spark.read.parquet(sink).drop("batch_id")
+    return spark.read.parquet(sink).drop("run", "batch_id")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,21 +416,54 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ------------------------------------------------------------------------------------
 
 
+def _page_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for each page."""
+    folder = staging_path(spark, "pages")
+    pages = table(spark, sf_dir, "pages").select(
+        F.concat("page_id", F.lit(".html")).alias("path"),
+        F.lit(0).cast("bigint").alias("number"),
+        F.coalesce("html", F.lit("")).cast("binary").alias("content"),
+    )
+    restore_files(pages, folder).write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def _file_name() -> Column:
+    return F.substring_index("path", "/", -1).alias("name")
+
+
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, sf_dir, recursive=True)
+    return list_files(spark, _page_files(spark, sf_dir), recursive=True).select(_file_name(), "length")
 
 
 def file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_checksums(spark, sf_dir, recursive=True)
+    found = file_checksums(spark, _page_files(spark, sf_dir))
+    return found.select(_file_name(), "length", "sha256")
 
 
-def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = land_files(spark, sf_dir, staging_path(spark, "landing"), recursive=True)
-    return landed.select("path", "length", "sha256")
+SMALL_CHUNK = 4096  # so that most pages have several
+
+
+def files_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = staging_path(spark, "landing")
+    files = land_files(spark, _page_files(spark, sf_dir), landing, chunk=SMALL_CHUNK)
+    chunks = landed_chunks(spark, landing).groupBy("path")
+    counted = chunks.agg(
+        F.count("*").alias("chunks"), F.sum(F.octet_length("content")).alias("landed_bytes")
+    )
+    return files.join(counted, "path", "left").select(
+        _file_name(),
+        "length",
+        "sha256",
+        F.coalesce("chunks", F.lit(0)).alias("chunks"),
+        F.coalesce("landed_bytes", F.lit(0)).alias("landed_bytes"),
+    )
 
 
 def verified_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return land_and_verify(spark, sf_dir, staging_path(spark, "landing"), recursive=True)
+    pages, landing = _page_files(spark, sf_dir), staging_path(spark, "landing")
+    found = land_and_verify(spark, pages, landing, rehash_source=True, chunk=SMALL_CHUNK)
+    return found.select(_file_name(), "length", "sha256", "ok")
 
 
 def queries() -> dict[str, Query]:
@@ -474,6 +507,6 @@ def queries() -> dict[str, Query]:
         "stream_clean": stream_clean,
         "list_files": file_list,
         "file_checksums": file_hashes,
-        "land_files": landed_files,
+        "land_files": files_in_chunks,
         "land_and_verify": verified_landing,
     }

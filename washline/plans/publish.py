@@ -88,4 +88,4 @@ def publish_clean(
 
 def _stored(how: dict) -> dict:
     """How to read back what `write_object_csv` wrote."""
-    return {"line_sep": "\n", "multiline": how.get("multiline", False)}
+    return {"line_sep": "\n", "multiline": how.get("multiline", False), "same_header": True}

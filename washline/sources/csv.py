@@ -21,9 +21,12 @@ from washline.functions.fixed_values import NA_TOKENS
 from washline.names import column
 from washline.operators.missing import normalize_nulls
 from washline.operators.profile import apply_types, profile_types
+from washline.staging import staging_path
 
 SURPLUS = "__surplus"
 LINE = "__line"
+FILE = "__file"
+ORDER = "__order"
 END_MARK = "\x01end\x01"
 
 
@@ -85,6 +88,72 @@ def read_first_line(spark: SparkSession, path: str) -> str:
     return first["value"] if first is not None else ""
 
 
+def file_headers(
+    spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8"
+) -> DataFrame:
+    """file and header: each file's first line that is not blank.
+
+    One pass over the files as text and one aggregation with a row per file.  Files without such
+    a line have no row.
+    """
+    text = spark.read.option("lineSep", "\n").text(paths)
+    rows = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("line"),
+    ).where(F.btrim("line", F.lit(" \t\r")) != "")
+    # Within a task rows keep their order; the first block of a file is read by one task.
+    place = F.when(F.col("block") == 0, F.monotonically_increasing_id())
+    numbered = rows.withColumn("place", place)
+    found = numbered.groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    header = F.rtrim(F.decode(F.col("header").cast("binary"), encoding), F.lit("\r"))
+    return found.select("file", header.alias("header"))
+
+
+#: Distinct headers of one table, and files with another order of columns that are broadcast.
+MOST_HEADERS, MOST_BROADCAST = 1000, 200_000
+
+
+def header_orders(
+    spark: SparkSession,
+    headers: DataFrame,
+    names: list[str],
+    options: Mapping[str, str],
+) -> tuple[DataFrame | None, list[list[int]]]:
+    """Which files have the columns in another order than `names`, and these orders.
+
+    Returns (file, order) of such files, or None, and per order the place of each name in it.  A file with
+    other names, more or fewer of them, or whose first line is a data row is an error.
+    """
+    kinds = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file")
+    schema = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    fields = F.from_csv("header", schema, dict(options)).alias("fields")
+    # A line per distinct header; files without one show up as having another.
+    found = kinds.limit(MOST_HEADERS + 1).select("header", "file", fields).collect()
+    case_sensitive = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    orders: list[list[int]] = []
+    known = []
+    for row in found:
+        *own, surplus = row["fields"]
+        own = dedupe_header(own, case_sensitive)
+        if own == names and surplus is None:
+            continue
+        if sorted(own) != sorted(names) or surplus is not None:
+            raise ValueError(f"header of {row['file']} is {row['header']!r}, not {names} in some order")
+        orders.append([own.index(n) for n in names])
+        known.append((row["header"], len(orders) - 1))
+    if len(found) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    if not orders:
+        return None, []
+    table = spark.createDataFrame(known, "header string, order int")
+    path = staging_path(spark, "other-headers")
+    headers.join(F.broadcast(table), "header").select("file", "order").write.parquet(path)
+    moved = spark.read.schema("file string, order int").parquet(path)
+    # Rows are not shuffled for the sake of a few files.
+    return (F.broadcast(moved) if moved.count() <= MOST_BROADCAST else moved), orders
+
+
 def _plain_row(sep: str, width: int) -> str:
     """Pattern of a row of at most `width` fields, each quoted as a whole or free of quotes.
 
@@ -126,9 +195,15 @@ def read_lines_checked(
     names: list[str],
     sep: str,
     options: Mapping[str, str],
+    moved: DataFrame | None = None,
+    orders: list[list[int]] | None = None,
+    with_file: str | None = None,
 ) -> DataFrame:
     """All columns as text, with the row checks; the same for batch and stream readers.
 
+    Rows of the files in `moved` (see `header_orders`) have their fields put in the order of `names`;
+    `with_file` names one more column, of the row's file.
+
     The schema has one more text column than the header.  That makes a row of the right width
     "malformed" to the parser, which then hands over the row's own text for the checks below;
     only a row with exactly one surplus field comes without.
@@ -170,7 +245,27 @@ def read_lines_checked(
         )
         .otherwise(True)
     )
-    return raw.filter(checked).select(*[column(n) for n in names])
+    good = raw.filter(checked)
+    file = F.col("_metadata.file_path")
+    if moved is not None:
+        good = in_order(good.withColumn(FILE, file), moved, orders, names, FILE)
+        file = F.col(FILE)
+    return good.select(*[column(n) for n in names], *([file.alias(with_file)] if with_file else []))
+
+
+def in_order(
+    rows: DataFrame, moved: DataFrame, orders: list[list[int]], names: list[str], file: str
+) -> DataFrame:
+    """Rows of the files in `moved` with their fields in the order of `names`; `file` is their file's column."""
+    placed = rows.join(moved.select(F.col("file").alias(file), F.col("order").alias(ORDER)), file, "left")
+    fields = []
+    for i, name in enumerate(names):
+        field = column(name)
+        for number, order in enumerate(orders):
+            if order[i] != i:
+                field = F.when(F.col(ORDER) == number, column(names[order[i]])).otherwise(field)
+        fields.append(field.alias(name))
+    return placed.select(*fields, column(file))
 
 
 def read_csv_table(
@@ -185,8 +280,13 @@ def read_csv_table(
     multiline: bool = False,
     line_sep: str | None = None,
     encoding: str = "UTF-8",
+    same_header: bool = False,
 ) -> DataFrame:
-    """A headered CSV file, or a directory of files with the same header.
+    """A headered CSV file, or a directory of files with the same columns.
+
+    The first file's header names the columns.  Each other file's own header is read as well, in one
+    more pass over the files as text: its columns may stand in another order, but a file with other
+    names, fewer or more, or without a header is an error.
 
     columns     keep only these, in file order; an unknown name is an error
     typed       decide one type per whole column, which costs one more pass over the files;
@@ -197,6 +297,7 @@ def read_csv_table(
     multiline   allow line breaks inside quotes; each file is then read by one task
     line_sep    the exact line end; by default any in a split read, and the one of the first
                 line in a multiline read
+    same_header of all files, as their writer guarantees: spares the pass over their headers
     encoding    of the files; bytes that it cannot hold, or a replacement character in the
                 text, are an error
     """
@@ -208,7 +309,10 @@ def read_csv_table(
         raise ValueError(f"line break inside quotes in the header, read with multiline=True: {path}")
     options = csv_options(sep, multiline, line_sep, encoding)
     names = read_header(spark, path, options)
-    df = read_lines_checked(spark.read, path, names, sep, options)
+    moved, orders = None, []
+    if not same_header and _several_files(spark, path):
+        moved, orders = header_orders(spark, file_headers(spark, path, encoding), names, options)
+    df = read_lines_checked(spark.read, path, names, sep, options, moved, orders)
     if columns is not None:
         wanted = list(columns)
         unknown = [c for c in wanted if c not in names]
@@ -227,6 +331,11 @@ def read_csv_table(
     return apply_types(df, profile_types(df)) if typed else df
 
 
+def _several_files(spark: SparkSession, path: str) -> bool:
+    """Spark's listing holds a path's files in any case."""
+    return spark.read.text(path)._jdf.inputFiles().__len__() > 1
+
+
 def object_path(root: str, bucket: str, key: str) -> str:
     """Location of an object: root is `s3a:/` for an object store, or a shared directory."""
     return f"{root}/{bucket}/{key}"

@@ -1,25 +1,75 @@
-"""Files that keep landing, cleaned and appended batch by batch.
+"""Files that keep landing, cleaned and appended batch by batch, with a ledger of what was taken.
 
 The transform must work row by row, as all cleaning here does; then no state, watermark or
 shuffle is needed and a batch result equals the stream's.
+
+A stream writes below its sink:
+
+    run=<stream>/batch_id=<n>          rows of a batch; `<stream>` is kept in the checkpoint
+    _ledger/run=<stream>/batch_id=<n>  a row per file of the batch: file, header, rows
+
+A batch counts once its ledger is written.  A repeated batch replaces its own folders.  A stream that starts
+without its checkpoint is another run: it removes what a broken run left without a ledger, and takes
+no file that a ledger names.  One stream at a time may write to a sink.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from washline.functions.fixed_values import NA_TOKENS
+from washline.names import column
 from washline.operators.missing import normalize_nulls
-from washline.sources.csv import csv_options, read_lines_checked
+from washline.sources.csv import csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
+from washline.staging import remove_staged
 
 ONCE = {"availableNow": True}
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 DAILY = {"processingTime": "1 day"}
 
+LEDGER = "_ledger"
+TAKEN = "file string, header string, rows bigint, run string, batch_id bigint"
+HEADERS = "file string, header string"
+SOURCE = "__source_file"
+
+
+def _folders(spark: SparkSession, path: str) -> set[str]:
+    """`run=…/batch_id=…` folders below a path, as many as there were batches."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*/batch_id=*")
+    found = top.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(top)
+    return {f"{p.getParent().getName()}/{p.getName()}" for p in (s.getPath() for s in found or [])}
+
+
+def read_ledger(spark: SparkSession, sink: str) -> DataFrame:
+    """file, header, rows, run, batch_id of all files that streams into `sink` have taken."""
+    path = f"{sink}/{LEDGER}"
+    if not _folders(spark, path):
+        return spark.createDataFrame([], TAKEN)
+    return spark.read.schema(TAKEN).parquet(path)
+
+
+def _remove_unfinished(spark: SparkSession, sink: str) -> None:
+    done = {f for f in _folders(spark, f"{sink}/{LEDGER}") if _finished(spark, f"{sink}/{LEDGER}/{f}")}
+    for folder in _folders(spark, sink) - done:
+        remove_staged(spark, f"{sink}/{folder}")
+
+
+def _finished(spark: SparkSession, folder: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _as_path(url: str) -> str:
+    """A file's URL as a path for Spark's readers, which take some characters for patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(url))
+
 
 def ingest_stream(
     spark: SparkSession,
@@ -38,29 +88,56 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start reading the CSV files under `landing` and writing `transform` of them to `sink`.
 
-    `schema` names the columns of the files in order; they arrive as text.  With `multiline` the
-    files' line end must be given, as there may be no file yet to see it in.  Every batch replaces
-    its own folder `batch_id=<n>` of the sink, so a batch repeated after a failure leaves no
-    duplicates.  Both `sink` and `checkpoint` must be on storage all executors share.
+    `schema` names the columns of the files; they arrive as text.  Each file's own header is looked at
+    before any row of its batch is written: its columns may stand in another order, but a file with other
+    names, fewer or more, or without a header stops the stream at its batch.  With `multiline` the
+    files' line end must be given, as there may be no file yet to see it in.  Both `sink` and `checkpoint`
+    must be on storage all executors share.
+
+    A file is known by its path, as Spark's file streams know it: written anew under the same path it is
+    not taken again.
     """
     if multiline and line_sep is None:
         raise ValueError("a multiline stream needs line_sep")
-    names = schema.names if isinstance(schema, T.StructType) else list(schema)
+    given = schema.names if isinstance(schema, T.StructType) else list(schema)
+    names = dedupe_header(given)
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     options = csv_options(sep, multiline, line_sep, encoding)
-    rows = read_lines_checked(reader, landing, names, sep, options)
+    rows = read_lines_checked(reader, landing, names, sep, options, with_file=SOURCE)
     tokens = tuple(na_tokens)
-    if tokens:
-        rows = normalize_nulls(rows, tokens)
+    _remove_unfinished(spark, sink)
 
     def replace_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        batch.persist()  # parsed once for all of the following
+        try:
+            take(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = f"run={run}/batch_id={batch_id}"
+        others = read_ledger(session, sink).where((F.col("run") != run) | (F.col("batch_id") != batch_id))
+        fresh = batch.join(others.select(F.col("file").alias(SOURCE)), SOURCE, "left_anti")
+        counted = fresh.groupBy(F.col(SOURCE).alias("file")).agg(F.count("*").alias("rows"))
+        # The names of a batch's files, which the stream's source holds in the driver as well.
+        files = [_as_path(r["file"]) for r in counted.select("file").collect()]
+        headers = file_headers(session, files, encoding) if files else session.createDataFrame([], HEADERS)
+        moved, orders = header_orders(session, headers, names, options)
+        if moved is not None:
+            fresh = in_order(fresh, moved, orders, names, SOURCE)
+        fresh = fresh.select(*map(column, names))
+        if tokens:
+            fresh = normalize_nulls(fresh, tokens)
+        transform(fresh).write.mode("overwrite").parquet(f"{sink}/{own}")
+        taken = counted.join(headers, "file", "left").select("file", "header", "rows")
+        taken.write.mode("overwrite").parquet(f"{sink}/{LEDGER}/{own}")
 
     return (
-        transform(rows)
-        .writeStream.foreachBatch(replace_batch)
+        rows.writeStream.foreachBatch(replace_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
