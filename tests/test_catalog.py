@@ -13,7 +13,7 @@ TABLES = (
 ).split()
 # Results that come out of a shuffle; all others are narrow from scan to result.
 SHUFFLING = {"row_index", "profile_types"}
-FILE_QUERIES = {"list_files", "file_checksums", "land_files", "land_and_verify"}
+FILE_QUERIES = {"probe_source", "list_files", "file_checksums", "land_files", "land_and_verify"}
 
 
 @pytest.fixture(scope="module")

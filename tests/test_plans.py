@@ -15,6 +15,7 @@ from washline.plans import clean_store_transactions, publish_clean, publish_raw
 from pyspark.sql.readwriter import DataFrameWriter
 
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
+from washline.sources import read_csv_table
 from washline.streaming import ingest_stream
 from washline.streaming.ingest import ONCE, read_ledger
 
@@ -132,6 +133,30 @@ def test_write_table_replaces(spark, tmp_path):
     assert out.columns == ["other"] and out.count() == 3
 
 
+def test_a_failed_write_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    stored = write_object_csv(spark.range(4), str(tmp_path), "b", "k.csv")
+    bad = spark.range(3).withColumn("x", F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise("y"))
+    for write in (
+        lambda: write_table(bad, path),
+        lambda: write_table(bad, path, index_by="id"),
+        lambda: write_object_csv(bad, str(tmp_path), "b", "k.csv"),
+    ):
+        with pytest.raises(PySparkException, match="broken"):
+            write()
+    assert spark.read.parquet(path).count() == 5 and read_csv_table(spark, stored).count() == 4
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["b", "t"]
+    assert [p.name for p in (tmp_path / "b").iterdir()] == ["k.csv"]
+
+
+def test_a_table_replaced_by_what_is_computed_from_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = write_table(spark.range(5), path)
+    again = write_table(table.withColumn("id", F.col("id") + 10), path)
+    assert sorted(r["id"] for r in again.collect()) == [10, 11, 12, 13, 14]
+
+
 def test_jdbc_inserts_from_a_stored_copy(spark, monkeypatch):
     seen = {}
 

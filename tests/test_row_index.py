@@ -3,10 +3,11 @@
 import glob
 
 import pytest
-from helpers import SMALL
+from helpers import SMALL, plan_of
 from pyspark.sql import functions as F
 
 from washline.operators import row_index, with_row_index
+from washline.sinks import write_table
 
 
 def check_dense(df, n, order):
@@ -26,16 +27,18 @@ def test_unique_order(spark):
 
 
 @pytest.fixture
-def staged(monkeypatch, tmp_path):
-    """Path of the staged table, to look at its partitions."""
-    path = str(tmp_path / "staged")
-    monkeypatch.setattr(row_index, "staging_path", lambda spark, purpose: path)
-    return path
+def staged(monkeypatch):
+    """Sizes of the ranges, as they are found by the keys of the stored rows."""
+    seen = []
+    ranged = row_index._with_range
 
+    def watched(keyed, bounds, most):
+        out = ranged(keyed, bounds, most)
+        seen.append([r["count"] for r in out.groupBy("__range").count().collect()])
+        return out
 
-def sizes(spark, path):
-    place = F.shiftright(F.col("__place"), 33)
-    return [r["count"] for r in spark.read.parquet(path).groupBy(place.alias("p")).count().collect()]
+    monkeypatch.setattr(row_index, "_with_range", watched)
+    return seen
 
 
 def test_one_key_holding_a_third_is_spread(spark, staged):
@@ -45,7 +48,7 @@ def test_one_key_holding_a_third_is_spread(spark, staged):
     )
     out = with_row_index(df, "k", partitions=12)
     check_dense(out, n, ["k"])
-    assert max(sizes(spark, staged)) < n / 12 * 2
+    assert max(staged[0]) < n / 12 * 2
     assert out.select("id").distinct().count() == n
 
 
@@ -57,7 +60,7 @@ def test_copies_of_one_row_are_spread(spark, staged):
     )
     out = with_row_index(df, "k", partitions=12)
     check_dense(out, n, ["k"])
-    assert max(sizes(spark, staged)) < n / 12 * 2.5
+    assert max(staged[0]) < n / 12 * 2.5
 
 
 def test_nulls_empty_partitions_and_empty_tables(spark):
@@ -71,17 +74,37 @@ def test_columns_that_cannot_be_hashed(spark):
     check_dense(with_row_index(df, "id"), 5, ["id"])
 
 
-def test_number_of_partitions_follows_the_input(spark, monkeypatch):
+def test_number_of_ranges_follows_the_input(spark, monkeypatch, staged):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
-    assert row_index._partitions_for(events) == 8
-    monkeypatch.setattr(row_index, "INPUT_PER_PARTITION", 1000)
-    by_size = row_index._partitions_for(events)
-    assert by_size > 8
-    joined = events.join(events.withColumnRenamed("ts", "t"), "event_id")
-    assert by_size < row_index._partitions_for(joined) <= 2 * by_size
-    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "id long")
-    assert row_index._partitions_for(unknown) == 8
+    monkeypatch.setattr(row_index, "INPUT_PER_RANGE", 1000)
     check_dense(with_row_index(events, "event_id"), 1000, ["event_id"])
+    assert len(staged[0]) > 15
+
+
+def test_mixed_types_in_the_order(spark):
+    df = spark.sql(
+        """select case when id % 5 > 0 then cast(id % 7 as double) / 3 when id % 2 = 0 then double('nan') end as d,
+                  cast(id % 3 as decimal(20, 4)) as e, date_add(date'2020-01-01', cast(id % 11 as int)) as f,
+                  cast(cast(id % 13 as string) as binary) as g, named_struct('x', id % 4, 'y', null) as h, id % 2 = 0 as i
+           from range(3000)"""
+    )
+    out = with_row_index(df, df.columns, partitions=9).drop("index")
+    again = with_row_index(df, df.columns, partitions=1)
+    assert [tuple(map(repr, r)) for r in with_row_index(df, df.columns, partitions=9).orderBy("index").collect()] == [
+        tuple(map(repr, r)) for r in again.orderBy("index").collect()
+    ]
+    assert out.count() == 3000
+
+
+def test_one_shuffle_and_no_join(spark):
+    plan = plan_of(with_row_index(spark.range(1000).withColumn("k", F.col("id") % 3), "k"))
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 7, 8, 9, 31, 33, 100])
+@pytest.mark.parametrize("partitions", [1, 2, 3, 8, 13])
+def test_few_rows_in_any_number_of_ranges(spark, n, partitions):
+    check_dense(with_row_index(spark.range(n).withColumn("k", F.col("id") % 4), ["k", "id"], partitions=partitions), n, ["k", "id"])
 
 
 def test_own_name_and_arguments(spark):
@@ -104,7 +127,7 @@ def test_costly_input_is_computed_once(spark):
             yield batch
 
     df = spark.range(1000).mapInArrow(count_rows, "id long")
-    out = with_row_index(df, "id", store_first=True)
+    out = with_row_index(df, "id")
     check_dense(out, 1000, ["id"])
     assert computed.value == 1000
 
@@ -114,3 +137,10 @@ def test_result_is_the_same_on_every_evaluation(spark):
     out = with_row_index(df, "k")
     assert out.exceptAll(out).count() == 0
     assert glob.glob(f"{row_index.staging_path(spark, 'x').rsplit('/', 1)[0]}/row-index-*")
+
+
+def test_write_table_leaves_no_stored_copy(spark, tmp_path):
+    root = row_index.staging_path(spark, "x").rsplit("/", 1)[0]
+    before = set(glob.glob(f"{root}/*"))
+    out = write_table(spark.range(100), str(tmp_path / "t"), index_by="id")
+    assert out.where("index = id").count() == 100 and set(glob.glob(f"{root}/*")) == before

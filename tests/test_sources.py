@@ -524,15 +524,54 @@ def test_damaged_landing_is_found(spark, folder, tmp_path):
     assert [r["path"].rsplit("/", 1)[1] for r in out if not r["ok"]] == ["f7.bin"]
 
 
+def probed(spark, paths, **how):
+    found = probe_source(spark, paths, **how).collect()
+    assert {r["path"] for r in found} == set(paths)
+    return {(r["file"] or r["path"]).rsplit("/", 1)[1]: (r["status"], r["error_class"], r["length"]) for r in found}
+
+
 def test_probe(spark, csv_file, tmp_path):
     good = csv_file("a\n1\n")
     absent = str(tmp_path / "absent-403-Forbidden")
-    found = {r["path"]: (r["status"], r["error_class"]) for r in probe_source(spark, [good, absent]).collect()}
-    assert found == {good: ("ok", None), absent: ("missing", "PATH_NOT_FOUND")}
+    (tmp_path / "nothing").mkdir()
+    assert probed(spark, [good, absent, str(tmp_path / "nothing")]) == {
+        good.rsplit("/", 1)[1]: ("ok", None, 4),
+        "absent-403-Forbidden": ("missing", "FileNotFoundError", None),
+        "nothing": ("empty", None, None),
+    }
     tables = [f"{SMALL}/{t}.parquet" for t in ("orders", "pages")]
     assert {r["status"] for r in probe_source(spark, tables).collect()} == {"ok"}
 
 
+def test_probe_reads_every_file_to_its_end(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "several"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id\n1\n")
+    (folder / "b.csv").touch()
+    whole = gzip.compress(b"id\n" + bytes(range(256)) * 5000)
+    (folder / "c.csv.gz").write_bytes(whole)
+    (folder / "d.csv.gz").write_bytes(whole[:-200])
+    (folder / "e.csv").write_bytes("é".encode("latin-1"))
+    (folder / "long.csv").write_bytes(b"x" * 9_000_000 + "é".encode()[:1])
+    found = probed(spark, [str(folder)])
+    assert found["d.csv.gz"][0] == "error" and found["b.csv"] == ("empty", None, 0)
+    assert {n for n, (status, *_) in found.items() if status == "ok"} == {"a.csv", "c.csv.gz", "e.csv", "long.csv"}
+    assert found["c.csv.gz"][2] == 3 + 256 * 5000 and found["long.csv"][2] == 9_000_001
+    text = probed(spark, [str(folder)], encoding="utf-8")
+    assert {n for n, (status, *_) in text.items() if status == "ok"} == {"a.csv"}
+    assert text["e.csv"][1] == text["long.csv"][1] == "UnicodeDecodeError"
+
+
+def test_probe_reports_denied_files(spark, csv_file):
+    def opener(url):
+        raise PermissionError("Forbidden")
+
+    good = csv_file("a\n")
+    assert [(r["status"], r["error_class"]) for r in probe_source(spark, [good], opener=opener).collect()] == [("denied", "PermissionError")]
+
+
 @pytest.mark.parametrize(
     "message, status",
     [

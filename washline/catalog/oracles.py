@@ -231,6 +231,9 @@ def oracle_sql() -> dict[str, str]:
         """,
         "list_files": f"select {PAGE_FILE} from pages",
         "file_checksums": f"select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256 from pages",
+        "probe_source": f"""
+            select {PAGE_FILE}, if(coalesce(html, '') = '', 'empty', 'ok') as status from pages
+        """,
         "land_files": f"""
             select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256,
                    ceil(strlen(coalesce(html, '')) / 4096)::bigint as chunks,

@@ -46,7 +46,13 @@ from washline.plans import (
     publish_raw,
 )
 from washline.sinks import preview, write_object_csv, write_table
-from washline.sources import file_checksums, list_files, read_csv_table, read_object_csv
+from washline.sources import (
+    file_checksums,
+    list_files,
+    probe_source,
+    read_csv_table,
+    read_object_csv,
+)
 from washline.sources.files import land_files, landed_chunks, restore_files
 from washline.staging import staging_path
 from washline.streaming import ingest_stream
@@ -441,6 +447,11 @@ def file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(_file_name(), "length", "sha256")
 
 
+def probed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = probe_source(spark, [_page_files(spark, sf_dir)], encoding="utf-8")
+    return found.select(F.substring_index("file", "/", -1).alias("name"), "length", "status")
+
+
 SMALL_CHUNK = 4096  # so that most pages have several
 
 
@@ -507,6 +518,7 @@ def queries() -> dict[str, Query]:
         "stream_clean": stream_clean,
         "list_files": file_list,
         "file_checksums": file_hashes,
+        "probe_source": probed_files,
         "land_files": files_in_chunks,
         "land_and_verify": verified_landing,
     }

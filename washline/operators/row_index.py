@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -12,10 +13,10 @@ from pyspark.sql.window import Window
 from washline.names import as_list, column
 from washline.staging import staging_path
 
-POSITION_BITS = 33  # monotonically_increasing_id keeps the position in its lower 33 bits
-MAX_PARTITIONS = 1_000_000  # keeps the broadcast offset table at 16 MB of numbers
-INPUT_PER_PARTITION = 1 << 30
-UNKNOWN_SIZE = 1 << 60  # Spark states huge sizes for inputs it knows nothing about
+MAX_RANGES = 10_000  # their bounds and offsets are handed to every task
+SAMPLED_PER_RANGE = 32
+INPUT_PER_RANGE = 1 << 30
+KEY, PLACE = "__key", "__place"
 
 
 def with_row_index(
@@ -23,82 +24,96 @@ def with_row_index(
     order_by: str | Iterable[str],
     name: str = "index",
     partitions: int | None = None,
-    store_first: bool = False,
 ) -> DataFrame:
     """Add the row's 0-based place in the order of `order_by` as a bigint, as first column.
 
-    `partitions` is the number of range partitions, by default one per GB of input and at least
-    `spark.sql.shuffle.partitions`.  Range partitioning reads its input twice, once to sample it:
-    with `store_first` an input that is costly to compute is stored and computed only once.
+    `partitions` is the number of ranges, by default one per GB of the stored table and at least
+    `spark.sql.shuffle.partitions`.  See `indexed_copy` for how, and for the stored copy that the result reads.
+    """
+    return indexed_copy(df, order_by, name, partitions)[0]
 
-    1. Range-partition and sort by the order, then number the rows inside each partition.
-    2. Write that once to the shared staging folder.  Both later reads see the same partitions,
-       also after lost executors, which re-running a sampled range partitioning cannot promise.
-    3. Count rows per partition (reads one narrow column), turn the counts into start offsets
-       and add them through a broadcast of one row per partition.
 
-    One shuffle in all.  Rows that tie in `order_by` are split further by a hash of their other
-    columns and, if they are copies, by the input partition they come from, so a value or a row
-    repeated any number of times still spreads over many partitions.
+def indexed_copy(
+    df: DataFrame,
+    order_by: str | Iterable[str],
+    name: str = "index",
+    partitions: int | None = None,
+) -> tuple[DataFrame, str]:
+    """The table with its row index, and the path of the stored copy that it reads.
+
+    The copy may be deleted once the result is written.
+
+    1. Store the rows once.  From then on a row is known by its file and its place in it, so every later
+       look at the table sees the same, also after lost executors.
+    2. Sample the keys (narrow columns alone) and take the bounds of ranges from the sample.
+    3. Count the rows of each range (narrow columns again); sums of the counts are the ranges' offsets.
+    4. Shuffle the rows by range, sort each range, and add its offset to the place in it.
+
+    Bounds and offsets are small fixed tables, at most MAX_RANGES rows, so no task depends on what
+    another run of step 2 would sample.  A key is the order's columns, then a hash of the others, then file
+    and place: a value or a row repeated any number of times still spreads over many ranges.
     """
     order = as_list(order_by)
     if not order:
         raise ValueError("with_row_index needs an order: file order is not defined in Spark")
     if name in df.columns:
         raise ValueError(f"the table has a column {name} already")
+    if partitions is not None and not 1 <= partitions <= MAX_RANGES:
+        raise ValueError(f"partitions must be between 1 and {MAX_RANGES}")
     spark = df.sparkSession
-    count = _partitions_for(df) if partitions is None else partitions
-    if not 1 <= count <= MAX_PARTITIONS:
-        raise ValueError(f"partitions must be between 1 and {MAX_PARTITIONS}")
-
-    if store_first:
-        stored = staging_path(spark, "row-index-input")
-        df.write.parquet(stored)
-        df = spark.read.schema(df.schema).parquet(stored)
-
-    rest = [
-        column(f.name)
-        for f in df.schema.fields
-        if f.name not in order and not _holds_map(f.dataType)
-    ]
-    ties = {"__tie": F.xxhash64(*rest) if rest else F.lit(0), "__source": F.spark_partition_id()}
-    keys = [column(c) for c in order] + [F.col("__tie"), F.col("__source")]
-    numbered = (
-        df.withColumns(ties)
-        .repartitionByRange(count, *keys)
-        .sortWithinPartitions(*keys)
-        .drop(*ties)
-        .withColumn("__place", F.monotonically_increasing_id())
-    )
     path = staging_path(spark, "row-index")
-    numbered.write.parquet(path)
-
-    staged = spark.read.schema(numbered.schema).parquet(path)
-    partition = F.shiftright(F.col("__place"), POSITION_BITS)
-    position = F.col("__place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    sizes = staged.groupBy(partition.alias("__part")).agg(F.count("*").alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition, at most MAX_PARTITIONS, so one task and a broadcast are safe.
-    offsets = sizes.select(
-        "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
-    )
-    indexed = staged.withColumn("__part", partition).join(F.broadcast(offsets), "__part")
-    return indexed.select(
-        (F.col("__offset") + position).alias(name), *[column(c) for c in df.columns]
-    )
-
-
-def _partitions_for(df: DataFrame) -> int:
-    """Enough range partitions for the size of the plan's inputs, as the optimizer states it."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    plan = getattr(df, "_jdf", None)
-    if plan is None:  # a remote session, which does not show its plans
-        return least
-    inputs = plan.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(inputs.apply(i).stats().sizeInBytes())) for i in range(inputs.size()))
-    if size >= UNKNOWN_SIZE:
-        return least
-    return min(MAX_PARTITIONS, max(least, size // INPUT_PER_PARTITION + 1))
+    df.write.parquet(f"{path}/rows")
+    stored = spark.read.schema(df.schema).parquet(f"{path}/rows")
+    keyed = stored.withColumn(KEY, _key(stored, order))
+
+    total = stored.count()
+    ranges = partitions or min(MAX_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), _size(spark, path) // INPUT_PER_RANGE + 1))
+    share = min(1.0, ranges * SAMPLED_PER_RANGE / max(total, 1))
+    chosen = F.pmod(F.xxhash64(f"{KEY}.file", f"{KEY}.place"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = keyed.where(chosen).agg(F.array_sort(F.collect_list(KEY)).alias("keys"))
+    every = F.greatest(F.floor(F.size("keys") / ranges), F.lit(1))
+    bounds = F.filter("keys", lambda _, i: (i > 0) & (i % every == 0))
+    sample.select(bounds.alias("bounds")).write.parquet(f"{path}/bounds")
+    ranged = _with_range(keyed, spark.read.parquet(f"{path}/bounds"), ranges)
+
+    # One row per range, at most MAX_RANGES + 1.
+    sizes = sorted(ranged.groupBy("__range").count().collect())
+    starts = dict(zip((r[0] for r in sizes), accumulate((r[1] for r in sizes), initial=0)))
+    offsets = spark.createDataFrame([(starts,)], "starts map<int, bigint>")
+
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(KEY)) - 1
+    spread = ranged.repartitionById(ranges + 1, F.col("__range"))
+    indexed = spread.withColumn(PLACE, place)
+    index = F.element_at(offsets.scalar(), F.col("__range")) + F.col(PLACE)
+    return indexed.select(index.alias(name), *[column(c) for c in df.columns]), path
+
+
+def _key(stored: DataFrame, order: list[str]) -> Column:
+    rest = [column(f.name) for f in stored.schema.fields if f.name not in order and not _holds_map(f.dataType)]
+    row = stored.metadataColumn("_metadata")
+    parts = [column(c).alias(f"k{i}") for i, c in enumerate(order)]
+    tie = F.xxhash64(*rest) if rest else F.lit(0).cast("bigint")
+    return F.struct(*parts, tie.alias("tie"), row["file_name"].alias("file"), row["row_index"].alias("place"))
+
+
+def _with_range(keyed: DataFrame, bounds: DataFrame, most: int) -> DataFrame:
+    """Add `__range`: how many of the sorted bounds are not above the key, found by halving.
+
+    Each step is a projection of its own, as its result is used twice in the next.
+    """
+    found = keyed.withColumn("__range", F.lit(0))
+    step = 1 << max(most.bit_length() - 1, 0)
+    while step:
+        # Beyond the last bound there is null, which is no bound.
+        passed = F.coalesce(F.get(bounds.scalar(), F.col("__range") + (step - 1)) <= F.col(KEY), F.lit(False))
+        found = found.withColumn("__range", F.col("__range") + F.when(passed, step).otherwise(0))
+        step //= 2
+    return found
+
+
+def _size(spark, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/rows")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
 def _holds_map(dtype: T.DataType) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from washline.sinks.replace import replace_folder
 from washline.sources.csv import object_path, spark_sep
 
 
@@ -17,29 +18,26 @@ def write_object_csv(
 ) -> str:
     """Write the table under bucket and key, replacing what is there; returns the location.
 
-    The object is a directory of part files with a header each, written in parallel.  Nulls are
+    What was there stays until the new object is complete.  It is a directory of part files with a header each, written in parallel.  Nulls are
     empty fields and outer blanks are kept.  Set `max_records_per_file` when texts hold line
     breaks: such files cannot be split by readers, so their size sets the readers' parallelism.
     """
     path = object_path(root, bucket, key)
     # An empty line is no row, so a lone column needs its quotes to keep missing values.
     quote_all = len(df.columns) == 1
-    (
-        df.write.mode("overwrite")
-        .options(
-            header="true",
-            sep=spark_sep(sep),
-            quote='"',
-            escape='"',
-            nullValue="",
-            quoteAll=str(quote_all).lower(),
-            lineSep="\n",
-            ignoreLeadingWhiteSpace="false",
-            ignoreTrailingWhiteSpace="false",
-            timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
-            timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
-            maxRecordsPerFile=max_records_per_file,
-        )
-        .csv(path)
+    writer = df.write.options(
+        header="true",
+        sep=spark_sep(sep),
+        quote='"',
+        escape='"',
+        nullValue="",
+        quoteAll=str(quote_all).lower(),
+        lineSep="\n",
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+        timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
+        timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
+        maxRecordsPerFile=max_records_per_file,
     )
+    replace_folder(df.sparkSession, path, writer.csv)
     return path

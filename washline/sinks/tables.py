@@ -6,21 +6,33 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
-from washline.operators.row_index import with_row_index
+from washline.operators.row_index import indexed_copy
+from washline.sinks.replace import replace_folder
 from washline.staging import remove_staged, staging_path
 
 
-def _indexed(df: DataFrame, index_by: str | Iterable[str] | None) -> DataFrame:
-    return df if index_by is None else with_row_index(df, index_by, store_first=True)
+def _indexed(
+    df: DataFrame, index_by: str | Iterable[str] | None
+) -> tuple[DataFrame, str | None]:
+    return (df, None) if index_by is None else indexed_copy(df, index_by)
 
 
 def write_table(
     df: DataFrame, path: str, index_by: str | Iterable[str] | None = None
 ) -> DataFrame:
-    """Replace the Parquet table at `path`; with `index_by` a leading `index` column 0..n-1."""
-    out = _indexed(df, index_by)
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(out.schema).parquet(path)
+    """Replace the Parquet table at `path`; with `index_by` a leading `index` column 0..n-1.
+
+    What was there stays until the new table is complete, so a failed write keeps it, and `df` may
+    be computed from it.
+    """
+    spark = df.sparkSession
+    out, copy = _indexed(df, index_by)
+    try:
+        replace_folder(spark, path, lambda new: out.write.parquet(new))
+    finally:
+        if copy:
+            remove_staged(spark, copy)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def write_table_jdbc(
@@ -43,12 +55,16 @@ def write_table_jdbc(
     """
     spark = df.sparkSession
     path = staging_path(spark, "jdbc")
-    _indexed(df, index_by).write.parquet(path)
-    out = spark.read.parquet(path)
-    (
-        out.write.mode("overwrite")
-        .option("numPartitions", max_connections)
-        .option("batchsize", batch_size)
-        .jdbc(url, table, properties=dict(properties))
-    )
-    remove_staged(spark, path)
+    indexed, copy = _indexed(df, index_by)
+    try:
+        indexed.write.parquet(path)
+        out = spark.read.parquet(path)
+        (
+            out.write.mode("overwrite")
+            .option("numPartitions", max_connections)
+            .option("batchsize", batch_size)
+            .jdbc(url, table, properties=dict(properties))
+        )
+    finally:
+        for stored in filter(None, (path, copy)):
+            remove_staged(spark, stored)

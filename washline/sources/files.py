@@ -81,22 +81,28 @@ def _tasks(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def list_entries(url: str, opener: Opener, checked: bool = True) -> Iterator[tuple[str, fs.FileInfo]]:
+    """URL and description of what is directly in a folder; `checked`: it must exist and may be a file."""
+    system, path = opener(url)
+    if checked:
+        own = system.get_file_info(path)
+        if own.type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"no such file or folder: {url}")
+        if own.type == fs.FileType.File:
+            yield url, own
+            return
+    for entry in system.get_file_info(fs.FileSelector(path, recursive=False)):
+        if not entry.base_name.startswith((".", "_")):
+            yield _url_like(url, entry.path), entry
+
+
 def _found(folders: DataFrame, opener: Opener, root: str | None = None) -> DataFrame:
     """What is directly in each of `folders` (path); `root` may be a file, and must exist."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for url in batch.column(0).to_pylist():
-                system, path = opener(url)
-                if url == root:
-                    own = system.get_file_info(path)
-                    if own.type == fs.FileType.NotFound:
-                        raise FileNotFoundError(f"no such file or folder: {url}")
-                    if own.type == fs.FileType.File:
-                        yield rows(url, [own])
-                        continue
-                entries = system.get_file_info(fs.FileSelector(path, recursive=False))
-                seen = [e for e in entries if not e.base_name.startswith((".", "_"))]
+                seen = [e for _, e in list_entries(url, opener, url == root)]
                 for start in range(0, len(seen), 10_000):
                     yield rows(url, seen[start : start + 10_000])
 
