@@ -400,10 +400,6 @@ def test_names_of_headings_and_sections_in_an_article():
       <section id="search"><h2>Search</h2>{LONG}</section><div class="ad">Buy this fine thing now, it is cheap. Really.</div></article><footer>end</footer>"""
     text = LONG[3:-4]
     assert model.text(page) == "\n\n".join(["Title", text, "Related work", text, "Search", text])
-    prose = LONG.replace("<p>", "<p class=prose>")
-    learned = [*(source for *_, source in given("pages")), *[f"<article>{prose * 9}</article><div>x</div>"] * 20]
-    page = f"<article>{LONG * 7}<div class=notice>{prose * 5}</div><div class=notice>{LONG * 1}</div></article>"
-    assert pages.train(learned).text(page) == "\n\n".join([text] * 12)
 
 
 # --- URLs ---------------------------------------------------------------------------------------

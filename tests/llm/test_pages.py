@@ -1,0 +1,124 @@
+"""HTML extraction on layouts other than that of the given pages, and on broken pages."""
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
+
+from washline.llm import pages  # noqa: E402
+
+TEXT = "A long paragraph of the page's text stands here, with enough words to look like prose to anyone."
+OTHER = "Somebody else has written these words below the article, and they are long enough to be prose, too."
+P, Q = f"<p>{TEXT}</p>", f"<p>{OTHER}</p>"
+
+
+@pytest.fixture(scope="module", params=["given pages", "no labels"])
+def model(request):
+    """With what the given pages teach, and with the priors alone."""
+    if request.param == "no labels":
+        return pages.train([])
+    return pages.train([h for (h,) in duckdb.sql("select html from '/root/testdata/sf0.001/pages.parquet'").fetchall()])
+
+
+@pytest.fixture(scope="module")
+def trained():
+    return pages.train([h for (h,) in duckdb.sql("select html from '/root/testdata/sf0.001/pages.parquet'").fetchall()])
+
+
+def joined(*blocks):
+    return "\n\n".join(blocks)
+
+
+MAINS = ["<article>{}</article>", "<main>{}</main>", '<main id="m"><article class="post">{}</article></main>', '<div class="content">{}</div>', '<div class="post-content entry">{}</div>']
+
+
+@pytest.mark.parametrize("main", MAINS)
+@pytest.mark.parametrize("region", ["<div class=comments>{}</div>", "<section class='comments'>{}</section>", "<div class='comment-list'>{}</div>", "<div id=comments class=user-comments>{}</div>", "<aside>{}</aside>", "<div class='sidebar'>{}</div>"])
+@pytest.mark.parametrize("inside", [False, True])
+def test_regions_longer_than_the_article(trained, main, region, inside):
+    other = region.format(Q * 6)
+    page = main.format(P * 2 + other) if inside else main.format(P * 2) + other
+    assert trained.text(f"<html><body>{page}<footer>end</footer></body></html>") == joined(TEXT, TEXT)
+
+
+@pytest.mark.parametrize("region", ["aside", "nav", "footer", "form", 'div class="advert"', 'div class="sidebar"', 'div class="cookie-notice"', 'div class="comment"', 'div class="ad-slot"', 'div class="newsletter signup"', 'section class="related-links"', 'ul class="share-links"'])
+def test_text_directly_in_a_region(model, region):
+    page = f"<body><article>{P}<{region}>{OTHER} {OTHER} {OTHER}</{region.split()[0]}>{P}</article></body>"
+    assert model.text(page) == joined(TEXT, TEXT)
+
+
+@pytest.mark.parametrize("main", MAINS[:3])
+def test_lists_and_tables_of_the_article(model, main):
+    listed = "<ul><li>one<li>two<li>three</ul>"
+    table = "<table><caption>Sizes</caption><tr><th>a<th>b<tr><td>1<td>2 cm</table>"
+    terms = "<dl><dt>word<dd>its sense</dl><pre>x = 1</pre><blockquote>said</blockquote><figure><img src=x><figcaption>seen</figcaption></figure>"
+    page = main.format(f"<h2>Head</h2>{P}{listed}{P}{table}{P}<ol><li><p>four</p></ol>{terms}{P}")
+    wanted = ["Head", TEXT, "one", "two", "three", TEXT, "Sizes", "a", "b", "1", "2 cm", TEXT, "four", "word", "its sense", "x = 1", "said", "seen", TEXT]
+    assert model.text(f"<nav><ul><li><a href=/>Home</a><li><a href=/b>About</a></ul></nav>{page}<footer><ul><li>Imprint</ul></footer>") == joined(*wanted)
+
+
+@pytest.mark.parametrize("name", ["social-history", "legal-theory", "header-compression", "notice-of-death", "form-and-function", "no-comments-here", "menu-closed", "login-problems"])
+def test_class_words_that_do_not_decide(model, name):
+    page = f"<article>{P}<p class='{name}'>{OTHER}</p><div class={name}>{P}</div></article>"
+    assert model.text(page) == joined(TEXT, OTHER, TEXT)
+
+
+@pytest.mark.parametrize("around", ["form id=aspnetForm", "div class=sidebar", "div class='page menu-open'", "div id=page"])
+def test_elements_around_the_page(model, around):
+    page = f"<body><{around}><header>Site</header><article>{P}{P}<div class=comments>{Q * 5}</div></article><form><p>{OTHER}</p></form></{around.split()[0]}>"
+    assert model.text(page) == joined(TEXT, TEXT)
+
+
+def test_comments_marked_as_articles(model):
+    comment = f"<article class='comment'>{Q}</article>"
+    page = f"<main><article>{P}{P}</article><section class='comments'>{comment * 7}</section></main>"
+    assert model.text(page) == joined(TEXT, TEXT)
+
+
+HOSTILE = {
+    "open tags": lambda n: "<a " * (n // 3),
+    "nested": lambda n: "<div>" * (n // 5),
+    "nested in items": lambda n: "<ul><li><ul>" + "<div>" * (n // 10) + "<li></li>" * (n // 18),
+    "open quotes": lambda n: "<a title=\"x>" * (n // 12),
+    "mixed quotes": lambda n: "<a \"><a '>" * (n // 10),
+    "quotes without end": lambda n: "<p a='" + "x> <p \" " * (n // 8),
+    "comments": lambda n: "<!--" * (n // 4),
+    "declarations": lambda n: "<!x" * (n // 3) + ">",
+    "headers": lambda n: "<div>" * (n // 10) + "<header></header>" * (n // 34),
+    "less": lambda n: "<" * n,
+    "raw": lambda n: "<script>" * (n // 8),
+    "raw ends": lambda n: "<style></style" * (n // 14),
+    "ends": lambda n: "<p>x" * (n // 9) + "</div>" * (n // 12),
+    "regions": lambda n: "<span class=ad>" * (n // 15) + "x",
+    "entities": lambda n: "&amp" * (n // 4),
+    "attributes": lambda n: "<p " + "class " * (n // 6) + ">",
+}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_pages_take_linear_time(trained, kind):
+    page = HOSTILE[kind](1_000_000)
+    start = time.time()
+    trained.text(page + f"<article>{P}</article>")
+    assert time.time() - start < 12
+
+
+def test_quotes_in_attributes():
+    blocks = lambda source: [text for _, text in pages.parse(source).blocks]
+    assert blocks('<p title="a > b">x<p title=\'it"s\'>y') == ["x", "y"]
+    assert blocks('<p title="open>x<p>y') == ["x", "y"]
+    assert blocks("a < b <3 <p>c<!-- <p>e --><? x ?>f") == ["a < b <3", "cf"]
+    assert blocks("5 < 6 and 7 > 6") == ["5 < 6 and 7 > 6"]
+
+
+def test_clashing_columns_and_repeated_rows(spark, trained):
+    html = f"<article>{P}</article>"
+    rows = [(1, html, "own", 5, "m"), (1, html, "own", 5, "m"), (None, None, None, None, None), (2, "<nav>x</nav>" * 30_000 + html, "t", 1, "n")]
+    given = spark.createDataFrame(rows, "page_id long, html string, text string, n_chars int, `a.b` string")
+    found = pages.extract(given, trained)
+    assert found.columns == ["page_id", "a.b", "text", "n_chars"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([(1, "m", TEXT, len(TEXT))] * 2 + [(None, None, "", 0), (2, "n", TEXT, len(TEXT))], key=repr)

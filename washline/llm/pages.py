@@ -8,9 +8,13 @@ marginal.  The text of nodes that are content more likely than not is the page's
 
 The potentials are counted on labelled pages: those whose markup names its main part, by one
 `article` or `main` element.  Fixed priors stand for what few pages show.  A region named as
-navigation, advert or comments is unlikely content, and so is what it holds; it takes its parent's
-message but sends none, as an advert says nothing about the text around it.  Neither the page's root
-elements nor headings nor an element around most of the text are such regions, whatever their names.
+navigation, advert or comments is no content, and so is what it holds, however much text that is: its
+potential is stronger than all messages, and it sends none, as an advert says nothing about the
+text around it.  A class decides so as a whole: every word of it names such a region or is a plain word for
+a part of a page (`comment-list`, not `has-comments`).  The page's root elements, headings, a form around
+the page and an element around all its main parts are no such regions, whatever their names.
+
+The parser looks at every character a fixed number of times, however broken the page.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -51,25 +55,30 @@ NEVER_WORDS = set(
     form login signup subscribe subscription newsletter comment comments commentlist disqus respond reply replies share sharing social
     related recommended breadcrumb breadcrumbs pagination pager widget toolbar copyright legal skip search hidden""".split()
 )
+PLAIN_WORDS = set(
+    """list area wrapper wrap box container section block bar group item inner outer panel pane row column col content body main site page post article
+    entry blog user reader global primary secondary left right top bottom first last mobile desktop slot unit text links link title thread form area""".split()
+)
 UNSURE_WORDS = set("header sidebar notice copyright legal hidden search form social widget promo skip".split())
 UNTELLING = set("html body div section span table tbody tr ul ol dl".split())
 MAIN_TAGS = {"article", "main"}
 MAIN_WORDS = set("article main content post entry story maincontent articlebody articletext".split())
 
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text is short as a rule, so that its length and end say nothing.
+TERSE = HEADINGS | set("li dt dd td th caption figcaption address summary legend pre".split())
+#: What a form around a page holds, other than a form in it.
+PAGE_PARTS = set("h1 main article header footer nav".split())
 ROOTS = {"html", "body"}
 
-#: Log-odds of these, and the most that counted features may say.  NAMED is for a region's element, INSIDE for those
-#: in it that hold text, MAYBE for an element that only its id names, or that a whole class word also names as the main part.
-NAMED, INSIDE, MAYBE, MAIN_TAG, MAIN_WORD, ROOT, MOST_COUNTED = -8.0, -7.0, -3.0, 8.0, 3.0, -5.0, 2.0
+#: Log-odds of these, and the most that counted features may say.  NAMED is for a region's element and all in it,
+#: MAYBE for an element that only its id names, or that a whole class word also names as the main part.
+NAMED, MAYBE, MAIN_TAG, MAIN_WORD, ROOT, MOST_COUNTED = -20.0, -3.0, 8.0, 3.0, -5.0, 2.0
 
 #: Parent-child potentials start from so many imagined pairs, and no change of label becomes rarer than FLOOR.
 IMAGINED, FLOOR = 20, 0.02
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",
-    re.S,
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -95,59 +104,120 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
 
-def _names(attributes: str) -> tuple[frozenset[str], frozenset[str], bool]:
-    """The words of class, id and role, those of class and role alone, and whether one class is made of words for the main part."""
+def _deciding(words: set[str]) -> set[str]:
+    """Of a class's words, those that name a region, if the class says nothing else."""
+    return words & NEVER_WORDS if words <= NEVER_WORDS | PLAIN_WORDS else set()
+
+
+def _names(attributes: str) -> tuple[frozenset[str], frozenset[str], frozenset[str], bool]:
+    """The words of class, id and role; those that decide; of these, those of class and role; and whether one class is made of words for the main part."""
     if "=" not in attributes:
-        return NO_NAMES, NO_NAMES, False
-    words, telling, main = set(), set(), False
+        return NO_NAMES, NO_NAMES, NO_NAMES, False
+    words, deciding, telling, main = set(), set(), set(), False
     for name, *values in NAMES.findall(attributes):
         own = [set(WORDS.findall(CAMEL.sub(" ", x).lower())) for x in html.unescape("".join(values)).split()]
         words.update(*own)
+        found = set().union(*map(_deciding, own))
+        deciding |= found
         if name.lower() != "id":
-            telling.update(*own)
+            telling |= found
             main = main or any(x and x <= MAIN_WORDS for x in own)
-    return frozenset(words), frozenset(telling), main
+    return frozenset(words), frozenset(deciding), frozenset(telling), main
 
 
-def _said(names: frozenset[str]) -> bool:
+def _said(deciding: frozenset[str], names: frozenset[str]) -> bool:
     """Do the words name a region that is no content?  Some don't tell so beside a word for the main part."""
-    said = NEVER_WORDS & names
-    return bool(said - UNSURE_WORDS) or bool(said) and not MAIN_WORDS & names
+    return bool(deciding - UNSURE_WORDS) or bool(deciding) and not MAIN_WORDS & names
 
 
-def _named(tag: str, names: frozenset[str], telling: frozenset[str], main: bool, inside: bool) -> float:
+def _named(tag: str, names: frozenset[str], deciding: frozenset[str], telling: frozenset[str], main: bool, inside: bool) -> float:
     """Log-odds by the names of an element; `inside` an article, a header belongs to it."""
     if tag in ROOTS or tag in HEADINGS:
         return 0.0
     if inside and tag == "header":
-        names, telling = names - {"header"}, telling - {"header"}
+        deciding, telling = deciding - {"header"}, telling - {"header"}
     elif tag in NEVER_TAGS:
         return NAMED
-    if not _said(names):
+    if not _said(deciding, names):
         return 0.0
     # A section's id is its title's words, an inline element's a place to link to.
-    by_id = (tag == "section" or tag not in BLOCK) and not _said(telling)
+    by_id = (tag == "section" or tag not in BLOCK) and not _said(telling, names)
     return MAYBE if by_id or main else NAMED
 
 
 def _regions(nodes: list[Node]) -> None:
-    """Mark what is in named regions; an element around most of the text is none, unless the main part is beside it."""
-    held = [n.text for n in nodes]
-    mains, around = [n.tag in MAIN_TAGS for n in nodes], [0] * len(nodes)
+    """Mark what is in named regions; neither a form around the page nor an element around all its main parts is one."""
+    mains, parts, around = ([0] * len(nodes) for _ in range(3))
     for i in range(len(nodes) - 1, 0, -1):
-        held[nodes[i].parent] += held[i]
-        mains[nodes[i].parent] += mains[i]
+        node = nodes[i]
+        mains[i] += node.tag in MAIN_TAGS and node.named != NAMED
+        mains[node.parent] += mains[i]
+        parts[node.parent] += parts[i] + (node.tag in PAGE_PARTS)
     for i, node in enumerate(nodes[1:], 1):
-        around[i] = around[node.parent] + (nodes[node.parent].tag in MAIN_TAGS)
-        if node.named and 2 * held[i] > held[0] and mains[i] + around[i] == mains[0]:
+        above = nodes[node.parent]
+        around[i] = around[node.parent] + (above.tag in MAIN_TAGS)
+        page_form = node.tag == "form" and parts[i] and above.tag in ROOTS | {"root", "div", "main"} and not above.region
+        if node.named and (page_form or mains[i] and not around[i] and mains[i] == mains[0]):
             node.named = 0.0
-        node.region = nodes[node.parent].region or node.named == NAMED
+        node.region = above.region or node.named == NAMED
+
+
+def _tags(source: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """Start, end, name, attributes and whether it closes of each tag; comments and declarations have an empty name.
+
+    Of a quote that is not closed before the last `>`, nothing is made.
+    """
+    at, last = 0, source.rfind(">")
+    closing = {}  # where the next quote of each kind is, as far as looked
+
+    def quote_after(mark: str, place: int) -> int:
+        if closing.get(mark, -1) < place:
+            found = source.find(mark, place)
+            closing[mark] = len(source) if found < 0 else found
+        return closing[mark]
+
+    while True:
+        start = source.find("<", at)
+        if start < 0:
+            return
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = len(source) if end < 0 else end + 3
+            yield start, at, "", "", False
+            continue
+        if start > last:
+            return
+        if source.startswith(("<!", "<?"), start):
+            at = source.find(">", start) + 1
+            yield start, at, "", "", False
+            continue
+        name = TAG.match(source, start)
+        if not name:
+            at = start + 1
+            continue
+        first = end = source.find(">", name.end())
+        place = name.end()
+        while True:
+            marks = [quote_after(m, place) for m in "\"'"]
+            opened = min(marks)
+            if opened > end:
+                break
+            closed = quote_after("\"'"[marks.index(opened)], opened + 1)
+            if closed >= last:
+                end = first  # as if there were no quotes
+                break
+            place = closed + 1
+            if closed > end:
+                end = source.find(">", place)
+        at = end + 1
+        yield start, at, name[2].lower(), source[name.end() : end], bool(name[1])
 
 
 def parse(source: str) -> Page:
     """Block elements as nodes, parents first, and the text blocks with the node that holds each."""
     page = Page([Node(-1, "root", NO_NAMES)])
     nodes, stack = page.nodes, [0]
+    places: dict[str, list[int]] = {}  # of the open elements of each tag in the stack
     inline: list[tuple[str, int]] = []  # open inline elements that name a region: tag and stack height
     held: list[str] = []
     linked, link = 0, 0
@@ -165,51 +235,51 @@ def parse(source: str) -> Page:
             page.blocks.append((stack[-1], text))
         linked = 0
 
-    def close(tags: set[str], within: set[str] | None = None) -> None:
+    def innermost(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def end_at(height: int) -> None:
+        flush()
+        for i in stack[height:]:
+            places[nodes[i].tag].pop()
+        del stack[height:]
+        while inline and inline[-1][1] >= height:
+            inline.pop()
+
+    def close(tags: Iterable[str], within: Iterable[str] = ()) -> None:
         """End the innermost open element of `tags`, and what it holds, unless one of `within` is nearer."""
-        for i in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[i]].tag
-            if tag in tags:
-                flush()
-                del stack[i:]
-                while inline and inline[-1][1] >= i:
-                    inline.pop()
-                return
-            if within and tag in within:
-                return
+        height = innermost(tags)
+        if height and height > innermost(within):
+            end_at(height)
 
     def begin(tag: str, names: frozenset[str], named: float) -> None:
         flush()
         nodes.append(Node(stack[-1], tag, names, named))
+        places.setdefault(tag, []).append(len(stack))
         stack.append(len(nodes) - 1)
 
-    def named_by(tag: str, found: tuple[frozenset[str], frozenset[str], bool]) -> float:
-        return _named(tag, *found, tag == "header" and any(nodes[i].tag in MAIN_TAGS for i in stack))
+    def named_by(tag: str, found: tuple[frozenset[str], frozenset[str], frozenset[str], bool]) -> float:
+        return _named(tag, *found, tag == "header" and innermost(MAIN_TAGS) > 0)
 
-    for token in TOKEN.finditer(source):
-        start = token.start()
+    for start, after, tag, attributes, closes in _tags(source):
         if start < at:  # inside an element of raw text
             continue
         if start > at:
             held.append(source[at:start])
             if link:
                 linked += start - at
-        at = token.end()
-        name = token[2] or token[5]
-        if not name:
+        at = after
+        if not tag:
             continue
-        tag = name.lower()
-        if token[1] or token[4]:
+        if closes:
             if tag in BLOCK:
-                close({tag})
+                close((tag,))
                 link = 0
             elif tag == "a":
                 link = 0
             elif inline and inline[-1][0] == tag:
-                flush()
-                del stack[inline.pop()[1] :]
+                end_at(inline[-1][1])
             continue
-        attributes = token[3] or token[6] or ""
         if tag in RAW:
             if not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}[\s>/]", re.I).search(source, at)
@@ -218,9 +288,9 @@ def parse(source: str) -> Page:
             held.append(" ")
         elif tag in BLOCK:
             if tag in CLOSES_P:
-                close({"p"}, {"td", "th", "li", "button"} if tag == "p" else None)
+                close(("p",), ("td", "th", "li", "button") if tag == "p" else ())
             if tag in CLOSED_BY_LIKE:
-                close(LIKE.get(tag, {tag}), CLOSED_BY_LIKE[tag])
+                close(LIKE.get(tag, (tag,)), CLOSED_BY_LIKE[tag])
             if tag == "hr":
                 flush()
             else:
@@ -241,14 +311,15 @@ def parse(source: str) -> Page:
 
 
 def _seen(node: Node) -> list[str]:
-    """Features that are counted: of the element, unless a region's name tells, and of the text it holds directly."""
-    found = [] if node.region or node.tag in UNTELLING else [f"tag:{node.tag}"]
-    if not node.region:
-        found += node.names
+    """Features that are counted of an element outside of regions, and of the text it holds directly."""
+    if node.region:
+        return []
+    found = [*node.names] if node.tag in UNTELLING or node.tag in TERSE else [f"tag:{node.tag}", *node.names]
     if node.text:
-        found.append("text:short" if node.text < 25 else "text:medium" if node.text < 80 else "text:long")
         found.append("links:none" if not node.linked else "links:few" if 2 * node.linked < node.text else "links:most")
-        found.append("sentence:ends" if node.ends else "sentence:none")
+        if node.tag not in TERSE:
+            found.append("text:short" if node.text < 25 else "text:medium" if node.text < 80 else "text:long")
+            found.append("sentence:ends" if node.ends else "sentence:none")
     return found
 
 
@@ -262,10 +333,9 @@ class Model:
         """Log-odds of content from the node alone."""
         if node.parent < 0:
             return ROOT
-        odds = sum(self.counted.get(f, 0.0) for f in _seen(node)) + MAIN_WORD * (not MAIN_WORDS.isdisjoint(node.names))
         if node.region:
-            odds += sum(self.counted.get(f, 0.0) for f in (f"tag:{node.tag}", *node.names))
-            return odds + min(node.named, INSIDE if node.text else 0.0)
+            return NAMED
+        odds = sum(self.counted.get(f, 0.0) for f in _seen(node)) + MAIN_WORD * (not MAIN_WORDS.isdisjoint(node.names))
         return odds + node.named + MAIN_TAG * (node.tag in MAIN_TAGS)
 
     def marginals(self, nodes: list[Node]) -> list[float]:
