@@ -421,6 +421,28 @@ def test_url_query_against_brute_force(spark):
         assert r["verdict"] == RULES[rule] if rule else r["verdict"] in ("allow", "block")
 
 
+def test_url_statistics_count_all_labelled_urls(spark, monkeypatch):
+    """Hosts outside of the fitted sample keep what is known of them, and held-out URLs are told apart."""
+    rng = random.Random(4)
+    bad = {f"h{i}.site{i % 7}.net" for i in range(0, 25_000, 3)}
+    rows = [(f"http://h{i}.site{i % 7}.net/{rng.randrange(10**6)}/{j}", f"h{i}.site{i % 7}.net" in bad) for i in range(25_000) for j in range(2)]
+    known = spark.createDataFrame(rows, "url string, blocked boolean")
+    asked = spark.createDataFrame([(i, f"http://h{i}.site{i % 7}.net/{rng.randrange(10**6)}/new") for i in range(0, 25_000, 5)], "page_id long, url string")
+    monkeypatch.setattr(urls, "MOST_TRAINED", 4000)
+    found = urls.judge(asked, [], known).collect()
+    right = sum((r["verdict"] == "block") == (r["host"] in bad) for r in found)
+    assert len(found) == 5000 and right > 4900
+
+
+def test_own_fold_is_left_out_of_the_statistics(spark):
+    rows = [(f"http://a{i % 3}.b/{i}", f"a{i % 3}.b", f"/{i}", float(i % 2)) for i in range(30)]
+    table = spark.createDataFrame(rows, "__url string, host string, path string, __label double").withColumn("fold", urls._fold())
+    known = [tuple(r) for r in table.collect()]
+    for r in urls._features(table, urls._statistics(table), 0.5, urls._fold()).collect():
+        others = [k[3] for k in known if k[1] == r["host"] and k[4] != r["fold"]]
+        assert r["__share_host"] == pytest.approx((sum(others) + 0.5) / (len(others) + 1))
+
+
 def test_url_edge_cases_and_learning(spark):
     odd = [None, "", "no scheme", "HTTP://A.Org", "x://a://b/c", "http://h?q=/p#f", "http://é.com/\n/x?y", "http://org/"]
     table = spark.createDataFrame([(i, u, "x") for i, u in enumerate(odd)], "page_id long, url string, host string")

@@ -18,6 +18,9 @@ benchmark's windows, says which triples occur in it at all.  Only windows that p
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,14 +58,15 @@ def tokens_of(text: Column) -> Column:
     A run of digits with single points or commas inside is one number, without its commas.
     """
     marks = NUMBER + NAME + UNIT + POINT
-    clean = F.when(F.regexp_like(text, F.lit(f"[{marks}]")), F.translate(text, marks, " " * len(marks))).otherwise(text)
+    marked = reduce(or_, (F.contains(text, F.lit(m)) for m in marks))
+    clean = F.when(marked, F.translate(text, marks, " " * len(marks))).otherwise(text)
     named = F.regexp_replace(clean, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{M}}\p{{N}}])(?!(?:{'|'.join(STARTERS)})(?![\p{{L}}\p{{M}}]))\p{{Lu}}\p{{Ll}}+", NAME + "$0")
     whole = F.regexp_replace(named, r"(?<=\p{Nd}),(?=\p{Nd}{3}(?!\p{Nd}))", "")
     pointed = F.regexp_replace(whole, r"(?<=\p{Nd})\.(?=\p{Nd})", POINT)
     numbered = F.regexp_replace(pointed, rf"\p{{Nd}}[\p{{Nd}}{POINT}]*", f" {NUMBER}$0 ")
     units = F.regexp_replace(numbered, rf"(?i)({NUMBER}[\p{{Nd}}{POINT}]+ +){NAME}?({'|'.join(UNITS)})(?!\p{{L}})", f"$1{UNIT}$2")
-    marked = F.when(F.regexp_like(clean, F.lit(r"\p{Nd}")), units).otherwise(named)
-    return F.filter(F.split(F.lower(marked), rf"[^\p{{L}}\p{{M}}\p{{N}}{marks}]+"), lambda w: w != "")
+    slotted = F.when(F.regexp_like(clean, F.lit(r"\p{Nd}")), units).otherwise(named)
+    return F.filter(F.split(F.lower(slotted), rf"[^\p{{L}}\p{{M}}\p{{N}}{marks}]+"), lambda w: w != "")
 
 
 def _is_slot(word: Column) -> Column:

@@ -3,8 +3,10 @@
 Everything runs in the JVM: features are column expressions, training and scoring are Spark ML's.
 
 The trees learn from labelled URLs, by default those that the rules decide.  At most MOST_TRAINED
-different URLs are used, those first in the order of a hash; the suffix statistics (how often URLs
-with this ending of the host, or this first path segment, are blocked) come from the same ones.
+different URLs are fitted, those first in the order of a hash.  The suffix statistics (how often URLs
+with this ending of the host, or this first path segment, are blocked) count all labelled URLs.  For those
+that the trees learn from, each of FOLDS parts of the labelled URLs takes the statistics of the others: a
+URL's own label is not in its features, nor, by its absence, readable from them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,11 @@ from washline.names import column
 #: Labelled URLs that are fitted at most.
 MOST_TRAINED = 20_000
 
+#: Tables of statistics of at most so many rows are broadcast, larger ones joined by a shuffle.
+MOST_BROADCAST = 500_000
+
+FOLDS = 5
+
 #: Rules are compiled into one expression; more of them belong in a table that is joined.
 MOST_RULES = 1000
 
@@ -86,14 +93,39 @@ def rule_of(host: Column, path: Column, rules: list[str]) -> Column:
     return found
 
 
-def _features(rows: DataFrame, shares: dict[str, DataFrame], prior: float) -> DataFrame:
-    """Rows with `__url`, `host` and `path` get a vector `__features`."""
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("__url"), F.lit(FOLDS)).cast("int")
+
+
+def _statistics(labelled: DataFrame) -> dict[str, DataFrame]:
+    """For each kind of suffix: its value, and per fold how many labelled URLs have it and how many of these are blocked."""
+    found = {}
+    for name, f in SUFFIXES.items():
+        part = f(F.col("host"), F.col("path")).alias(f"__part_{name}")
+        blocked = F.array(*(F.sum(F.when(_fold() == k, F.col("__label")).otherwise(0.0)) for k in range(FOLDS)))
+        n = F.array(*(F.count_if(_fold() == k) for k in range(FOLDS)))
+        found[name] = stage(labelled.groupBy(part).agg(blocked.alias(f"__blocked_{name}"), n.alias(f"__n_{name}")), f"url-{name}")
+    return found
+
+
+def _features(rows: DataFrame, statistics: dict[str, DataFrame], prior: float, apart: Column) -> DataFrame:
+    """Rows with `__url`, `host` and `path` get a vector `__features`.
+
+    `apart` is the fold that is left out of a row's statistics, or null.
+    """
     url, host, path = F.col("__url"), F.col("host"), F.col("path")
     rows = rows.withColumns({f"__{n}": f(url, host, path).cast("double") for n, f in LEXICAL.items()})
-    rows = rows.withColumns({f"__part_{n}": f(host, path) for n, f in SUFFIXES.items()})
-    for name, share in shares.items():  # at most MOST_TRAINED rows each
-        rows = rows.join(F.broadcast(share), f"__part_{name}", "left").withColumn(f"__share_{name}", F.coalesce(f"__share_{name}", F.lit(prior)))
-    inputs = [f"__{n}" for n in LEXICAL] + [f"__share_{n}" for n in shares]
+    rows = rows.withColumns({f"__part_{n}": f(host, path) for n, f in SUFFIXES.items()}).withColumn("__apart", apart)
+
+    def total(counts: str) -> Column:
+        every = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+        return F.coalesce(every - F.coalesce(F.get(counts, F.col("__apart")), F.lit(0.0)), F.lit(0.0))
+
+    for name, counted in statistics.items():
+        few = F.broadcast(counted) if counted.count() <= MOST_BROADCAST else counted
+        share = (total(f"__blocked_{name}") + prior) / (total(f"__n_{name}") + 1)
+        rows = rows.join(few, f"__part_{name}", "left").withColumn(f"__share_{name}", share)
+    inputs = [f"__{n}" for n in LEXICAL] + [f"__share_{n}" for n in statistics]
     return VectorAssembler(inputCols=inputs, outputCol="__features").transform(rows)
 
 
@@ -123,21 +155,18 @@ def judge(pages: DataFrame, rules: list[str], labelled: DataFrame | None = None)
     else:
         known = parsed(labelled).select("__url", "host", "path", column("blocked").cast("boolean").alias("blocked"))
     known = known.where("blocked is not null").groupBy("__url").agg(*(F.first(c).alias(c) for c in ("host", "path")), F.max("blocked").alias("blocked"))
-    sample = known.orderBy(F.xxhash64("__url"), "__url").limit(MOST_TRAINED)
-    train = stage(sample.withColumn("__label", F.col("blocked").cast("double")), "labelled-urls")
-    n, blocked = train.agg(F.count("*"), F.coalesce(F.sum("__label"), F.lit(0.0))).first()
+    labels = stage(known.withColumn("__label", F.col("blocked").cast("double")), "labelled-urls")
+    n, blocked = labels.agg(F.count("*"), F.coalesce(F.sum("__label"), F.lit(0.0))).first()
     if blocked in (0, n):
         score = F.lit(1.0 if n and blocked else 0.0)
         scored = rows.withColumn("block_score", score)
     else:
         prior = blocked / n
-        shares = {
-            name: train.groupBy(f(F.col("host"), F.col("path")).alias(f"__part_{name}")).agg(((F.sum("__label") + prior) / (F.count("*") + 1)).alias(f"__share_{name}"))
-            for name, f in SUFFIXES.items()
-        }
+        statistics = _statistics(labels)
+        sample = labels.orderBy(F.xxhash64("__url"), "__url").limit(MOST_TRAINED)
         trees = GBTClassifier(featuresCol="__features", labelCol="__label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=1)
         trees.setPredictionCol("__verdict").setProbabilityCol("__probability").setRawPredictionCol("__raw")
-        model = trees.fit(_features(train, shares, prior))
-        scored = model.transform(_features(rows, shares, prior)).withColumn("block_score", vector_to_array("__probability")[1])
+        model = trees.fit(_features(sample, statistics, prior, _fold()))
+        scored = model.transform(_features(rows, statistics, prior, F.lit(None).cast("int"))).withColumn("block_score", vector_to_array("__probability")[1])
     verdict = F.when(F.coalesce(ruled, F.col("block_score") > 0.5), "block").otherwise("allow")
     return scored.withColumn("verdict", verdict).select(*map(column, kept.columns), *added)
