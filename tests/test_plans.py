@@ -344,3 +344,19 @@ def test_a_wrong_header_stops_the_batch(spark, tmp_path, landing, bad):
     landing("bad.csv", "b,a\n6,5\n")
     run_stream(spark, tmp_path, ["a", "b"], plain)
     assert taken(spark, tmp_path) == [("1", "x"), ("2", "x"), ("5", "6")]
+
+
+class Session:
+    """Stands for a session with other settings."""
+
+    def __init__(self, **settings):
+        self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+
+def test_staging_needs_a_shared_folder():
+    assert staging.staging_root(Session(spark_checkpoint_dir="hdfs://n/x/", spark_master="yarn")) == "hdfs://n/x"
+    assert staging.staging_root(Session(spark_sql_warehouse_dir="file:/w/", spark_master="local[8]")) == "file:/w/staging"
+    assert staging.staging_root(Session(spark_sql_warehouse_dir="hdfs://n/w", spark_master="yarn")) == "hdfs://n/w/staging"
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging.staging_root(Session(spark_sql_warehouse_dir="file:/w", spark_master=master))

@@ -14,9 +14,19 @@ SETTING = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`, else one in the session's warehouse; both are shared."""
+    """The folder named by `spark.checkpoint.dir`, else one in the session's warehouse.
+
+    On a cluster the warehouse must not be a local folder, which other machines do not see; there the
+    setting has to be given.
+    """
     shared = spark.conf.get(SETTING, None)
-    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging").rstrip("/")
+    if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        local = spark.conf.get("spark.master", "local").startswith("local") and "cluster" not in spark.conf.get("spark.master", "")
+        if not local and warehouse.startswith(("file:", "/")):
+            raise ValueError(f"set {SETTING} to a folder that all machines share; {warehouse} is local")
+        shared = f"{warehouse}/staging"
+    return shared.rstrip("/")
 
 
 def staging_path(spark: SparkSession, purpose: str) -> str:
