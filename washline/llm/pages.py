@@ -426,9 +426,11 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
         for part in slices(batches, 128):
             *own, sources = part.columns
             texts = [model.text(s) for s in sources.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*places, "text", "n_chars"])
 
     kept = pages.drop("html", "text", "n_chars")
-    names = kept.columns
-    schema = with_fields(kept.schema, text=T.StringType(), n_chars=T.LongType())
-    return pages.select(*map(column, names), text_or_empty("html").alias("__html")).mapInArrow(add, schema)
+    # Numbered, as Spark's mapInArrow takes no names with dots.
+    places = [f"column{i}" for i in range(len(kept.columns))]
+    schema = with_fields(T.StructType([T.StructField(p, f.dataType) for p, f in zip(places, kept.schema, strict=True)]), text=T.StringType(), n_chars=T.LongType())
+    rows = pages.select(*(column(c).alias(p) for c, p in zip(kept.columns, places, strict=True)), text_or_empty("html").alias("__html"))
+    return rows.mapInArrow(add, schema).toDF(*kept.columns, "text", "n_chars")
