@@ -12,7 +12,7 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 # Results that come out of a shuffle; all others are narrow from scan to result.
-SHUFFLING = {"row_index", "profile_types"}
+SHUFFLING = {"row_index", "profile_types", "stream_profile"}
 FILE_QUERIES = {"probe_source", "list_files", "file_checksums", "land_files", "land_and_verify"}
 
 

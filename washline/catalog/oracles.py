@@ -80,6 +80,9 @@ ROUTED = f"""
 """
 
 
+LINE_PROFILE = _profile(f"select {', '.join(f'{c}::varchar as {c}' for c in LINEITEM)} from lineitem", LINEITEM)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "clean_store_transactions": _cleaned("'nan'"),
@@ -138,6 +141,14 @@ def oracle_sql() -> dict[str, str]:
                    o_orderdate as stamp
             from orders
         """,
+        "count_losses": """
+            select 'day' as "column", count(*) filter (o_orderkey % 11 = 0 or o_orderkey % 13 <> 0) as given,
+                   count(*) filter (o_orderkey % 11 = 0) as lost
+            from orders
+            union all select 'number', count(o_orderkey), count(*) filter (o_orderkey % 5 = 0) from orders
+            union all
+            select 'price', count(*), count(*) filter (o_orderkey % 3 = 0) from orders
+        """,
         "normalize_nulls": """
             select event_id,
                    case when event_id % 7 in (0, 1, 2, 4) then null when event_id % 7 = 3 then ' NA '
@@ -188,6 +199,7 @@ def oracle_sql() -> dict[str, str]:
                                when 'odd_hour' then ((hour(ts) - 1) // 2)::int end as half
             from ({ROUTED})
         """,
+        "write_branches": ROUTED,
         "row_index": """
             select row_number() over (order by ts, event_id) - 1 as "index", * from events
         """,
@@ -229,6 +241,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_clean": f"""
             select * replace (l_linenumber::bigint as l_linenumber) from ({_cleaned("'nan'")})
         """,
+        "update_profile": LINE_PROFILE,
+        "stream_profile": LINE_PROFILE,
         "list_files": f"select {PAGE_FILE} from pages",
         "file_checksums": f"select {PAGE_FILE}, sha256(coalesce(html, '')) as sha256 from pages",
         "probe_source": f"""

@@ -22,8 +22,10 @@ from washline.functions.fixed_values import MISSING_TEXT
 from washline.operators import (
     apply_types,
     change_branches,
+    count_losses,
     digits_only,
     hour_parity_rules,
+    losses_of,
     merge_branches,
     normalize_nulls,
     parse_currency,
@@ -44,8 +46,9 @@ from washline.plans import (
     land_and_verify,
     publish_clean,
     publish_raw,
+    update_profile,
 )
-from washline.sinks import preview, write_object_csv, write_table
+from washline.sinks import preview, write_branches, write_object_csv, write_table
 from washline.sources import (
     file_checksums,
     list_files,
@@ -55,7 +58,7 @@ from washline.sources import (
 )
 from washline.sources.files import land_files, landed_chunks, restore_files
 from washline.staging import staging_path
-from washline.streaming import ingest_stream
+from washline.streaming import ingest_stream, read_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +164,26 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_timestamp_fmt(df, "stamp", fmt="yyyy-MM-dd HH:mm:ss")
 
 
+def counted_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a conversion of all orders loses per column, counted while it is written."""
+    key = F.col("o_orderkey")
+    short = F.date_format("o_orderdate", "yyyy-M-d")
+    df = table(spark, sf_dir, "orders").select(
+        F.when(key % 11 == 0, "2019-02-30").when(key % 13 != 0, short).alias("day"),
+        F.when(key % 5 == 0, "1_000").otherwise(key.cast("string")).alias("number"),
+        F.when(key % 3 == 0, F.col("o_orderpriority")).otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+    )
+
+    def convert(rows: DataFrame) -> DataFrame:
+        rows = to_bigint(to_timestamp_fmt(rows, "day", mode="coerce"), "number")
+        return to_double(rows, "price", mode="coerce")
+
+    converted, seen = count_losses(df, ["day", "number", "price"], convert)
+    write_table(converted, staging_path(spark, "converted"))
+    found = [(c, given, lost) for c, (given, lost) in losses_of(seen).items()]
+    return spark.createDataFrame(found, "column string, given bigint, lost bigint")
+
+
 def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     mixed = (
@@ -253,6 +276,12 @@ def changed_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_branches(routed(spark, sf_dir), changes)
 
 
+def written_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All branches written in one pass and read back; one of them is chosen by no row."""
+    names = ["even_hour", "odd_hour", "none_hour", "no_such_hour"]
+    return merge_branches(write_branches(routed(spark, sf_dir), staging_path(spark, "branches"), names))
+
+
 # --- index, checksums, preview, profile -------------------------------------------------------
 
 
@@ -384,6 +413,17 @@ def clean_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def grown_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a folder that grew between two updates."""
+    root, bucket = _bucket(spark)
+    lines, store = table(spark, sf_dir, "lineitem"), f"{root}/{bucket}/profile"
+    folder = f"{root}/{bucket}/lines"
+    for half in (0, 1):
+        write_object_csv(lines.where(F.col("l_orderkey") % 2 == half), root, bucket, f"lines/half={half}")
+        found = update_profile(spark, f"{folder}/*", store)
+    return found
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 
@@ -391,15 +431,18 @@ def _streamed(
     spark: SparkSession,
     df: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
+    profile: bool = False,
 ) -> DataFrame:
-    """Land `df` as CSV files, let a stream take in all of them, return what it wrote."""
+    """Land `df` as CSV files, let a stream take in all of them, return what it wrote, or its profile."""
     root, bucket = _bucket(spark)
     landing = write_object_csv(df, root, bucket, "landing")
     sink = f"{root}/{bucket}/sink"
     query = ingest_stream(
-        spark, landing, df.columns, transform, sink, f"{root}/{bucket}/checkpoint"
+        spark, landing, df.columns, transform, sink, f"{root}/{bucket}/checkpoint", profile=profile
     )
     query.awaitTermination()
+    if profile:
+        return read_profile(spark, sink)
     return spark.read.parquet(sink).drop("run", "batch_id")
 
 
@@ -419,6 +462,10 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, dirty_transactions(spark, sf_dir), clean)
 
 
+def stream_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, table(spark, sf_dir, "lineitem"), lambda df: df, profile=True)
+
+
 # --- files ------------------------------------------------------------------------------------
 
 
@@ -492,6 +539,7 @@ def queries() -> dict[str, Query]:
         "to_text_null_token": text_with_token,
         "to_double": doubles,
         "to_timestamp_fmt": dates,
+        "count_losses": counted_losses,
         "normalize_nulls": missing_values,
         "arithmetic": arithmetic,
         "hour_and_parity": hour_and_parity,
@@ -501,6 +549,7 @@ def queries() -> dict[str, Query]:
         "take_branch": one_branch,
         "merge_branches": merged_branches,
         "change_branches": changed_branches,
+        "write_branches": written_branches,
         "row_index": row_index,
         "row_checksum": checksums,
         "row_checksum_pages": page_checksums,
@@ -515,7 +564,9 @@ def queries() -> dict[str, Query]:
         "publish_raw": raw_publication,
         "publish_clean": clean_publication,
         "stream_ingest": stream_ingest,
+        "update_profile": grown_profile,
         "stream_clean": stream_clean,
+        "stream_profile": stream_types,
         "list_files": file_list,
         "file_checksums": file_hashes,
         "probe_source": probed_files,

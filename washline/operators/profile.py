@@ -18,6 +18,7 @@ from washline.functions.parsing import DECIMAL, INFINITY, WHOLE_NUMBER
 from washline.names import column, string_columns
 
 INT, FLOAT, BOOL, TEXT = "i", "f", "b", "s"
+COUNTS = ("n", "n_int", "n_float", "n_bool")
 
 
 def _kind(text: Column) -> Column:
@@ -43,32 +44,51 @@ def _kind(text: Column) -> Column:
     )
 
 
-def profile_types(df: DataFrame) -> DataFrame:
-    """One row per text column: column, n (not null), n_int, n_float, n_bool, inferred.
+def count_types(df: DataFrame, by: str | None = None) -> DataFrame:
+    """What a profile is made of: column, n (not null), n_int, n_float, n_bool, per text column.
 
-    The first type of bigint, double, boolean that every present value fits wins, else string;
-    a column without any value is a double.
+    With `by`, a column of `df` that is not counted itself, a row per value of it and column; else a
+    row per column, also for a table without rows.  Counts of parts add up to those of the whole.
     """
-    names = string_columns(df)
+    names = [n for n in string_columns(df) if n != by]
     if not names:
-        raise ValueError("profile_types needs at least one text column")
+        raise ValueError("a profile needs at least one text column")
+    group = [] if by is None else [by]
     # One row per cell and one CASE for all columns: its compiled code stays small, however
     # wide the table is.  The cells are counted where they arise and never shuffled.
-    cells = df.select(F.posexplode(F.array(*[column(n) for n in names])).alias("place", "text"))
-    kinds = cells.select("place", _kind(F.col("text")).alias("kind"))
-    found = kinds.groupBy("place").agg(
+    texts = F.posexplode(F.array(*[column(n) for n in names])).alias("place", "text")
+    cells = df.select(*[column(g).alias("part") for g in group], texts)
+    parts = ["part"] if group else []
+    kinds = cells.select(*parts, "place", _kind(F.col("text")).alias("kind"))
+    found = kinds.groupBy(*parts, "place").agg(
         F.count("kind").alias("n"),
         F.count_if(F.col("kind") == INT).alias("n_int"),
         F.count_if(F.col("kind").isin(INT, FLOAT)).alias("n_float"),
         F.count_if(F.col("kind") == BOOL).alias("n_bool"),
     )
+    if group:
+        name = F.array(*[F.lit(n) for n in names])[F.col("place")]
+        return found.select(F.col("part").alias(by), name.alias("column"), *COUNTS)
     # A table without rows has no cells, yet each of its columns gets a line.
     every = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(n) for n in names])).alias("place", "column")
     )
-    counts = every.join(found, "place", "left").select(
-        "column", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "n_int", "n_float", "n_bool")]
+    return every.join(found, "place", "left").select(
+        "column", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS]
     )
+
+
+def merge_counts(counts: DataFrame) -> DataFrame:
+    """Counts of parts (column, n, n_int, n_float, n_bool) added up to a row per column."""
+    return counts.groupBy("column").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def infer_types(counts: DataFrame) -> DataFrame:
+    """Adds `inferred` to a row of counts per column.
+
+    The first type of bigint, double, boolean that every present value fits wins, else string;
+    a column without any value is a double.
+    """
     ladder = [("n_int", "bigint"), ("n_float", "double"), ("n_bool", "boolean")]
     inferred = reduce(
         lambda chain, rung: chain.when(F.col(rung[0]) == F.col("n"), rung[1]),
@@ -78,6 +98,11 @@ def profile_types(df: DataFrame) -> DataFrame:
     return counts.withColumn("inferred", inferred)
 
 
+def profile_types(df: DataFrame) -> DataFrame:
+    """One row per text column: column, n (not null), n_int, n_float, n_bool, inferred."""
+    return infer_types(count_types(df))
+
+
 def apply_types(
     df: DataFrame, profile: DataFrame | Mapping[str, str], mode: str = "raise"
 ) -> DataFrame:

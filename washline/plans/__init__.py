@@ -1,6 +1,7 @@
 """Whole jobs made of the operators."""
 
 from washline.plans.landing import land_and_verify, verify_landing
+from washline.plans.profiles import update_profile
 from washline.plans.publish import publish_clean, publish_raw
 from washline.plans.store_transactions import clean_store_transactions
 
@@ -9,5 +10,6 @@ __all__ = [
     "land_and_verify",
     "publish_clean",
     "publish_raw",
+    "update_profile",
     "verify_landing",
 ]

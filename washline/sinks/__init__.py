@@ -2,6 +2,6 @@
 
 from washline.sinks.csv import write_object_csv
 from washline.sinks.preview import preview
-from washline.sinks.tables import write_table, write_table_jdbc
+from washline.sinks.tables import write_branches, write_table, write_table_jdbc
 
-__all__ = ["preview", "write_object_csv", "write_table", "write_table_jdbc"]
+__all__ = ["preview", "write_branches", "write_object_csv", "write_table", "write_table_jdbc"]

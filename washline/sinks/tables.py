@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from washline.operators.row_index import indexed_copy
 from washline.sinks.replace import replace_folder
@@ -35,6 +37,41 @@ def write_table(
     return spark.read.schema(out.schema).parquet(path)
 
 
+def write_branches(routed: DataFrame, path: str, branches: Iterable[str]) -> dict[str, DataFrame]:
+    """Write the branches of a routed table in one pass over it, and return each as a table.
+
+    Below `path` there is a folder `branch=<name>` for every name in `branches`, also for one that no row
+    chose: that holds a file without rows.  A row of a branch not named is an error.  As in
+    `write_table`, what was at `path` stays until all branches are complete, so they change together.
+
+    Rows are not shuffled; each task writes a file per branch it meets, so a branch holding most rows
+    is written by all tasks.  The returned tables have no `branch` column.
+    """
+    spark = routed.sparkSession
+    names = list(dict.fromkeys(branches))
+    if not names:
+        raise ValueError("write_branches needs at least one branch")
+    stranger = F.raise_error(F.concat(F.lit("branch not among those written: "), F.coalesce("branch", F.lit("null"))))
+    checked = routed.withColumn("branch", F.when(F.col("branch").isin(names), F.col("branch")).otherwise(stranger.cast("string")))
+    rows = [f for f in routed.schema.fields if f.name != "branch"]
+    empty = spark.createDataFrame([], T.StructType(rows))
+
+    def write(new: str) -> None:
+        checked.write.partitionBy("branch").parquet(new)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        system = hadoop.Path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+        escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for name in names:
+            folder = f"{new}/branch={escape(name)}"
+            if not system.exists(hadoop.Path(folder)):
+                empty.write.parquet(folder)
+
+    replace_folder(spark, path, write)
+    schema = T.StructType([*rows, T.StructField("branch", T.StringType())])
+    stored = spark.read.schema(schema).parquet(path)
+    return {name: stored.where(F.col("branch") == name).drop("branch") for name in names}
+
+
 def write_table_jdbc(
     df: DataFrame,
     url: str,

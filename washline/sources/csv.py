@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,11 @@ def read_first_line(spark: SparkSession, path: str) -> str:
     return first["value"] if first is not None else ""
 
 
+def as_path(url: str) -> str:
+    """A file's URL as a path for Spark's readers, which take some characters for patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(url))
+
+
 def file_headers(
     spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8"
 ) -> DataFrame:
@@ -191,7 +197,7 @@ def _too_wide(line: Column, width: int, sep: str, options: Mapping[str, str]) ->
 
 def read_lines_checked(
     reader: DataFrameReader | DataStreamReader,
-    path: str,
+    path: str | list[str],
     names: list[str],
     sep: str,
     options: Mapping[str, str],
@@ -209,6 +215,7 @@ def read_lines_checked(
     only a row with exactly one surplus field comes without.
     """
     width = len(names)
+    where = path if isinstance(path, str) else f"{len(path)} files"
     fields = [T.StructField(n, T.StringType()) for n in (*names, SURPLUS, LINE)]
     raw = (
         reader.schema(T.StructType(fields))
@@ -224,7 +231,7 @@ def read_lines_checked(
     checked = (
         F.when(
             replaced,
-            F.raise_error(F.lit(f"bytes that are no {options['encoding']} in {path}")).cast(
+            F.raise_error(F.lit(f"bytes that are no {options['encoding']} in {where}")).cast(
                 "boolean"
             ),
         )

@@ -6,6 +6,7 @@ shuffle is needed and a batch result equals the stream's.
 A stream writes below its sink:
 
     run=<stream>/batch_id=<n>          rows of a batch; `<stream>` is kept in the checkpoint
+    _profile/run=<stream>/batch_id=<n> with `profile`, the batch's counts of types per column
     _ledger/run=<stream>/batch_id=<n>  a row per file of the batch: file, header, rows
 
 A batch counts once its ledger is written.  A repeated batch replaces its own folders.  A stream that starts
@@ -15,9 +16,7 @@ no file that a ledger names.  One stream at a time may write to a sink.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Mapping
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +26,18 @@ from pyspark.sql.streaming import StreamingQuery
 from washline.functions.fixed_values import NA_TOKENS
 from washline.names import column
 from washline.operators.missing import normalize_nulls
-from washline.sources.csv import csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
+from washline.operators.profile import COUNTS, count_types, infer_types, merge_counts
+from washline.sources.csv import as_path, csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
 from washline.staging import remove_staged
 
 ONCE = {"availableNow": True}
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 DAILY = {"processingTime": "1 day"}
 
-LEDGER = "_ledger"
+LEDGER, PROFILE = "_ledger", "_profile"
 TAKEN = "file string, header string, rows bigint, run string, batch_id bigint"
 HEADERS = "file string, header string"
+COUNTED = "column string, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", run string, batch_id bigint"
 SOURCE = "__source_file"
 
 
@@ -55,6 +56,20 @@ def read_ledger(spark: SparkSession, sink: str) -> DataFrame:
     return spark.read.schema(TAKEN).parquet(path)
 
 
+def read_profile(spark: SparkSession, sink: str) -> DataFrame:
+    """Type profile of all texts that streams with `profile=True` have taken into `sink`, before `transform`.
+
+    The same rows as `profile_types` of the files at once gives; `apply_types` takes them.  Only batches with a
+    ledger count, so a broken or repeated batch counts once.
+    """
+    path = f"{sink}/{PROFILE}"
+    if not _folders(spark, path):
+        return infer_types(merge_counts(spark.createDataFrame([], COUNTED)))
+    done = read_ledger(spark, sink).select("run", "batch_id").distinct()
+    counts = spark.read.schema(COUNTED).parquet(path).join(done, ["run", "batch_id"], "left_semi")
+    return infer_types(merge_counts(counts))
+
+
 def _remove_unfinished(spark: SparkSession, sink: str) -> None:
     done = {f for f in _folders(spark, f"{sink}/{LEDGER}") if _finished(spark, f"{sink}/{LEDGER}/{f}")}
     for folder in _folders(spark, sink) - done:
@@ -66,11 +81,6 @@ def _finished(spark: SparkSession, folder: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
-def _as_path(url: str) -> str:
-    """A file's URL as a path for Spark's readers, which take some characters for patterns."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(url))
-
-
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -85,6 +95,7 @@ def ingest_stream(
     line_sep: str | None = None,
     max_files_per_trigger: int | None = None,
     encoding: str = "UTF-8",
+    profile: bool = False,
 ) -> StreamingQuery:
     """Start reading the CSV files under `landing` and writing `transform` of them to `sink`.
 
@@ -94,6 +105,8 @@ def ingest_stream(
     files' line end must be given, as there may be no file yet to see it in.  Both `sink` and `checkpoint`
     must be on storage all executors share.
 
+    With `profile`, each batch also stores its counts of types per column, a few rows (`read_profile`).
+
     A file is known by its path, as Spark's file streams know it: written anew under the same path it is
     not taken again.
     """
@@ -124,7 +137,7 @@ def ingest_stream(
         fresh = batch.join(others.select(F.col("file").alias(SOURCE)), SOURCE, "left_anti")
         counted = fresh.groupBy(F.col(SOURCE).alias("file")).agg(F.count("*").alias("rows"))
         # The names of a batch's files, which the stream's source holds in the driver as well.
-        files = [_as_path(r["file"]) for r in counted.select("file").collect()]
+        files = [as_path(r["file"]) for r in counted.select("file").collect()]
         headers = file_headers(session, files, encoding) if files else session.createDataFrame([], HEADERS)
         moved, orders = header_orders(session, headers, names, options)
         if moved is not None:
@@ -132,6 +145,8 @@ def ingest_stream(
         fresh = fresh.select(*map(column, names))
         if tokens:
             fresh = normalize_nulls(fresh, tokens)
+        if profile:
+            count_types(fresh).write.mode("overwrite").parquet(f"{sink}/{PROFILE}/{own}")
         transform(fresh).write.mode("overwrite").parquet(f"{sink}/{own}")
         taken = counted.join(headers, "file", "left").select("file", "header", "rows")
         taken.write.mode("overwrite").parquet(f"{sink}/{LEDGER}/{own}")
