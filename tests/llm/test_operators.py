@@ -473,7 +473,7 @@ def test_lm_query_against_brute_force(spark):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[r["doc_id"]], len(own), sum(w in counts for w in own), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own))
     apart = [r for r in found if r["held_out"]]
-    assert sum(r["score"] for r in apart) > 0.97 * sum(r["base_score"] for r in apart)
+    assert sum(r["score"] for r in apart) > 0.94 * sum(r["base_score"] for r in apart)
 
 
 def test_exchange_finds_classes():
@@ -485,6 +485,78 @@ def test_exchange_finds_classes():
     assert of[0] == 0 and len(set(of[first])) == len(set(of[second])) == 1 and of[1] != of[6]
 
 
+def test_lm_score_is_the_class_model_of_its_classes(spark, monkeypatch):
+    """Every step of `score` computed directly from the classes that the exchange found."""
+    tables = []
+    exchange_words = lm.exchange_words
+
+    def spy(numbered, moving, table, between):
+        tables.extend([table] if not tables else [])
+        tables.append(exchange_words(numbered, moving, table, between))
+        return tables[-1]
+
+    monkeypatch.setattr(lm, "exchange_words", spy)
+    monkeypatch.setattr(lm, "FREQUENT", 200)
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").where("doc_id < 300").select("doc_id", "text")
+    trains = F.col("doc_id") % 5 != 0
+    found = {r["doc_id"]: r for r in lm.score_texts(docs, trains).collect()}
+    monkeypatch.setattr(lm, "exchange_words", exchange_words)
+    split = {r["doc_id"]: words(r["text"] or "") for r in docs.collect()}
+    counts = Counter(w for i, ws in split.items() if i % 5 for w in [*ws, ""])
+    numbers = {w: n for n, w in enumerate(sorted((w for w in counts if w), key=lambda w: w.encode()))}
+    total = counts.total()
+    exchanged = sum(c for w, c in counts.items() if w and (c >= lm.LEAST or c * 200 >= total))
+    assert {r["exchanged_tokens"] for r in found.values()} == {exchanged}
+
+    def bigrams(table):
+        def cls(w):
+            return int(table[numbers[w]] if w in numbers else table[-1] if w == "" else table[lm.OTHER - lm.ending_of(w)])
+
+        pairs = Counter()
+        for i, ws in split.items():
+            if i % 5:
+                line = [cls(w) for w in ["", *ws, ""]]
+                pairs.update(zip(line, line[1:], strict=False))
+        return cls, pairs
+
+    def gain(pairs):
+        left, right = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            left[a] += n
+            right[b] += n
+        return sum(sum(n * math.log(n) for n in c.values()) * sign for c, sign in ((pairs, 1), (left, -1), (right, -1)))
+
+    # Each round was kept as long as it raised the likelihood.
+    best = tables[0]
+    for table in tables[1:]:
+        if gain(bigrams(table)[1]) <= gain(bigrams(best)[1]):
+            break
+        best = table
+    assert (best != tables[0]).any()
+    cls, pairs = bigrams(best)
+    used = {int(c) for c in best}
+    row, inside, kinds = Counter(), Counter(), Counter()
+    for (a, _), n in pairs.items():
+        row[a] += n
+    for w, c in counts.items():
+        inside[cls(w)] += c
+        kinds[cls(w)] += 1
+    for i, ws in split.items():
+        line, score = ["", *ws, ""], 0.0
+        for w, x in zip(line, line[1:], strict=False):
+            a, b = cls(w), cls(x)
+            score += math.log10((pairs[a, b] + lm.ALPHA) / (row[a] + lm.ALPHA * len(used)))
+            score += math.log10((counts[x] + 1) / (inside[b] + kinds[b] + 1))
+        assert found[i]["score"] == pytest.approx(score, rel=1e-9)
+
+
+def test_words_move_to_the_class_of_their_contexts():
+    between = np.array([[0, 10, 10], [10, 2, 400], [10, 400, 2]], float)
+    before, after = np.array([[0, 0, 9.0], [0, 9.0, 0]]), np.array([[0, 0, 9.0], [0, 9.0, 0]])
+    own = np.array([2, 2])
+    assert list(lm.best_classes(np.arange(2), before, after, own, between)) == [1, 2]
+
+
 def test_lm_edge_cases(spark, edges):
     found = lm.score_texts(edges, F.col("doc_id") < 9).collect()
     assert len(found) == 10 and all(math.isfinite(r["score"]) and r["score"] <= 0 for r in found)

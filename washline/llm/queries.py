@@ -94,7 +94,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = lm.score_texts(docs, quality.fold_is_not(7, 2))
-    return scored.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "exchanged_tokens")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
