@@ -27,7 +27,7 @@ from washline.functions.fixed_values import NA_TOKENS
 from washline.names import column
 from washline.operators.missing import normalize_nulls
 from washline.operators.profile import COUNTS, count_types, infer_types, merge_counts
-from washline.sources.csv import as_path, csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
+from washline.sources.csv import MOST_BROADCAST, as_path, csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
 from washline.staging import remove_staged
 
 ONCE = {"availableNow": True}
@@ -134,8 +134,16 @@ def ingest_stream(
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = f"run={run}/batch_id={batch_id}"
         others = read_ledger(session, sink).where((F.col("run") != run) | (F.col("batch_id") != batch_id))
-        fresh = batch.join(others.select(F.col("file").alias(SOURCE)), SOURCE, "left_anti")
-        counted = fresh.groupBy(F.col(SOURCE).alias("file")).agg(F.count("*").alias("rows"))
+        counted = batch.groupBy(F.col(SOURCE).alias("file")).agg(F.count("*").alias("rows"))
+        # Nearly always none; at most the batch's files, whose names the driver holds as well.
+        again = [r["file"] for r in counted.join(others.select("file"), "file", "left_semi").collect()]
+        fresh = batch
+        if again:
+            # Rows are not shuffled by file, as one file may hold most of them.
+            taken_before = session.createDataFrame([(f,) for f in again], f"{SOURCE} string")
+            taken_before = F.broadcast(taken_before) if len(again) <= MOST_BROADCAST else taken_before
+            fresh = batch.join(taken_before, SOURCE, "left_anti")
+            counted = counted.join(taken_before.withColumnRenamed(SOURCE, "file"), "file", "left_anti")
         # The names of a batch's files, which the stream's source holds in the driver as well.
         files = [as_path(r["file"]) for r in counted.select("file").collect()]
         headers = file_headers(session, files, encoding) if files else session.createDataFrame([], HEADERS)
