@@ -16,6 +16,8 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
 from washline.sources import read_csv_table
+from washline.settings import METHOD_LIMIT, small_methods
+from washline.sinks.replace import replace_folder
 from washline.streaming import ingest_stream
 from washline.streaming.ingest import ONCE, read_ledger
 
@@ -346,6 +348,62 @@ def test_a_wrong_header_stops_the_batch(spark, tmp_path, landing, bad):
     assert taken(spark, tmp_path) == [("1", "x"), ("2", "x"), ("5", "6")]
 
 
+def scans_per_job(spark, tmp_path, names, transform, **how):
+    """How many rows the stream's files hand to Spark in all, in stages that parse their fields."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    run_stream(spark, tmp_path, names, lambda df: transform(df.mapInArrow(seen, df.schema)), **how)
+    return parsed.value
+
+
+def test_a_batch_is_cleaned_once_and_kept_in_no_cache(spark, tmp_path, landing, monkeypatch):
+    for i in range(3):
+        landing(f"f{i}.csv", f"a,b\n{i},x\n")
+    kept = []
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *level: kept.append(df) or df)
+    assert scans_per_job(spark, tmp_path, ["a", "b"], plain) == 3
+    assert not kept
+
+
+def test_rows_are_counted_as_they_are_read(spark, tmp_path, landing):
+    """Blank lines, line breaks in quotes and files without rows."""
+    landing("a.csv", 'a,b\n\n1,"x\n\ny"\n\n2,\n')
+    landing("header.csv", "a,b\n")
+    landing("empty.csv", "")
+    run_stream(spark, tmp_path, ["a", "b"], plain, multiline=True, line_sep="\n")
+    assert taken(spark, tmp_path) == [("1", "x\n\ny"), ("2", None)]
+    ledger = read_ledger(spark, str(tmp_path / "sink")).collect()
+    assert [(r["file"].rsplit("/", 1)[1], r["header"], r["rows"]) for r in ledger] == [("a.csv", "a,b", 2)]
+
+
+def test_a_batch_without_rows(spark, tmp_path, landing):
+    landing("header.csv", "a,b\n")
+    run_stream(spark, tmp_path, ["a", "b"], plain, profile=True)
+    assert taken(spark, tmp_path) == [] and read_ledger(spark, str(tmp_path / "sink")).count() == 0
+
+
+def test_writers_run_small_methods_and_leave_the_setting(spark, tmp_path):
+    limits = []
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        for given, wanted in (("65535", "8000"), ("7000", "7000")):
+            spark.conf.set(METHOD_LIMIT, given)
+            replace_folder(
+                spark, str(tmp_path / "t"), lambda new: (limits.append(spark.conf.get(METHOD_LIMIT)), spark.range(1).write.parquet(new))
+            )
+            assert limits.pop() == wanted and spark.conf.get(METHOD_LIMIT) == given
+        with pytest.raises(ValueError), small_methods(spark):
+            raise ValueError
+        assert spark.conf.get(METHOD_LIMIT) == "7000"
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
 class Session:
     """Stands for a session with other settings."""
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+from washline.settings import small_methods
+
 
 def replace_folder(spark: SparkSession, path: str, write: Callable[[str], object]) -> None:
     """Let `write` fill a new folder beside `path`, then put it in the place of what is there.
@@ -24,7 +26,8 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], object
     # Names that start with an underscore are no data to Spark's readers.
     new, old = (hadoop.Path(target.getParent(), f"_{target.getName()}.{kind}-{mark}") for kind in ("new", "old"))
     try:
-        write(new.toString())
+        with small_methods(spark):
+            write(new.toString())
     except BaseException:
         system.delete(new, True)
         raise

@@ -29,6 +29,7 @@ LINE = "__line"
 FILE = "__file"
 ORDER = "__order"
 END_MARK = "\x01end\x01"
+REPLACED = "\ufffd"  # what the decoder puts in the place of bytes it cannot read
 
 
 def spark_sep(sep: str) -> str:
@@ -116,6 +117,15 @@ def file_headers(
     return found.select("file", header.alias("header"))
 
 
+def count_rows(spark: SparkSession, paths: str | list[str], options: Mapping[str, str]) -> DataFrame:
+    """file and rows: how many rows `read_lines_checked` finds in each file that has any.
+
+    The same reader, asked for no column; so it finds the rows' ends only, and their fields are not parsed.
+    """
+    reader = spark.read.schema("value string").options(**options).options(header="true", columnPruning="true")
+    return reader.csv(paths).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+
+
 #: Distinct headers of one table, and files with another order of columns that are broadcast.
 MOST_HEADERS, MOST_BROADCAST = 1000, 200_000
 
@@ -163,9 +173,10 @@ def header_orders(
 def _plain_row(sep: str, width: int) -> str:
     """Pattern of a row of at most `width` fields, each quoted as a whole or free of quotes.
 
-    Nearly all rows are of this kind, and one match without backtracking clears them.
+    Nearly all rows are of this kind, and one match without backtracking clears them, also of characters
+    that the decoder could not read.
     """
-    field = rf'(?:(?:"[^"]*+")++|[^"{re.escape(sep)}]*+)'
+    field = rf'(?:(?:"[^"{REPLACED}]*+")++|[^"{REPLACED}{re.escape(sep)}]*+)'
     return rf"^{field}(?:{re.escape(sep)}{field}){{0,{width - 1}}}+\z"
 
 
@@ -226,16 +237,15 @@ def read_lines_checked(
     )
     line = F.col(LINE)
     plain = line.rlike(_plain_row(sep, width)) if len(sep) == 1 else F.lit(False)
-    # What the decoder could not read, it has replaced by this character.
-    replaced = F.contains(F.coalesce(line, F.concat_ws(sep, *map(column, names))), F.lit("\ufffd"))
+    replaced = F.contains(F.coalesce(line, F.concat_ws(sep, *map(column, names))), F.lit(REPLACED))
     checked = (
-        F.when(
+        F.when(plain, True)
+        .when(
             replaced,
             F.raise_error(F.lit(f"bytes that are no {options['encoding']} in {where}")).cast(
                 "boolean"
             ),
         )
-        .when(plain, True)
         .when(
             _breaks_in_quotes(line, sep) if options["multiLine"] != "true" else F.lit(False),
             F.raise_error(

@@ -9,6 +9,10 @@ A stream writes below its sink:
     _profile/run=<stream>/batch_id=<n> with `profile`, the batch's counts of types per column
     _ledger/run=<stream>/batch_id=<n>  a row per file of the batch: file, header, rows
 
+The stream itself carries the names of new files alone.  Each batch reads its files as any folder is read: once
+for their headers, once to count their rows, and once to write its rows, without a copy of them in memory
+(once more with `profile`).
+
 A batch counts once its ledger is written.  A repeated batch replaces its own folders.  A stream that starts
 without its checkpoint is another run: it removes what a broken run left without a ledger, and takes
 no file that a ledger names.  One stream at a time may write to a sink.
@@ -24,11 +28,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from washline.functions.fixed_values import NA_TOKENS
-from washline.names import column
 from washline.operators.missing import normalize_nulls
 from washline.operators.profile import COUNTS, count_types, infer_types, merge_counts
-from washline.sources.csv import MOST_BROADCAST, as_path, csv_options, dedupe_header, file_headers, header_orders, in_order, read_lines_checked
-from washline.staging import remove_staged
+from washline.settings import small_methods
+from washline.sources.csv import as_path, count_rows, csv_options, dedupe_header, file_headers, header_orders, read_lines_checked
+from washline.staging import remove_staged, staging_path
 
 ONCE = {"availableNow": True}
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
@@ -36,9 +40,9 @@ DAILY = {"processingTime": "1 day"}
 
 LEDGER, PROFILE = "_ledger", "_profile"
 TAKEN = "file string, header string, rows bigint, run string, batch_id bigint"
-HEADERS = "file string, header string"
+FOUND = "file string, header string, rows bigint"
 COUNTED = "column string, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", run string, batch_id bigint"
-SOURCE = "__source_file"
+FILES = "path string, modificationTime timestamp, length bigint, content binary"  # of Spark's binaryFile source
 
 
 def _folders(spark: SparkSession, path: str) -> set[str]:
@@ -118,49 +122,51 @@ def ingest_stream(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     options = csv_options(sep, multiline, line_sep, encoding)
-    rows = read_lines_checked(reader, landing, names, sep, options, with_file=SOURCE)
+    # Only the files' names are asked for, so no file is opened here.
+    listed = reader.schema(FILES).format("binaryFile").load(landing).select(F.col("_metadata.file_path").alias("file"))
     tokens = tuple(na_tokens)
     _remove_unfinished(spark, sink)
 
     def replace_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # parsed once for all of the following
+        session = batch.sparkSession
+        found = staging_path(session, "stream-files")
         try:
-            take(batch, batch_id)
+            with small_methods(session):
+                take(batch, batch_id, found)
         finally:
-            batch.unpersist()
+            remove_staged(session, found)
 
-    def take(batch: DataFrame, batch_id: int) -> None:
+    def take(batch: DataFrame, batch_id: int, found: str) -> None:
         session = batch.sparkSession
         run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = f"run={run}/batch_id={batch_id}"
         others = read_ledger(session, sink).where((F.col("run") != run) | (F.col("batch_id") != batch_id))
-        counted = batch.groupBy(F.col(SOURCE).alias("file")).agg(F.count("*").alias("rows"))
-        # Nearly always none; at most the batch's files, whose names the driver holds as well.
-        again = [r["file"] for r in counted.join(others.select("file"), "file", "left_semi").collect()]
-        fresh = batch
-        if again:
-            # Rows are not shuffled by file, as one file may hold most of them.
-            taken_before = session.createDataFrame([(f,) for f in again], f"{SOURCE} string")
-            taken_before = F.broadcast(taken_before) if len(again) <= MOST_BROADCAST else taken_before
-            fresh = batch.join(taken_before, SOURCE, "left_anti")
-            counted = counted.join(taken_before.withColumnRenamed(SOURCE, "file"), "file", "left_anti")
         # The names of a batch's files, which the stream's source holds in the driver as well.
-        files = [as_path(r["file"]) for r in counted.select("file").collect()]
-        headers = file_headers(session, files, encoding) if files else session.createDataFrame([], HEADERS)
+        new = batch.distinct().join(others.select("file"), "file", "left_anti")
+        files = [as_path(r["file"]) for r in new.collect()]
+        if files:
+            counted = count_rows(session, files, options)
+            counted.join(file_headers(session, files, encoding), "file", "left").select("file", "header", "rows").write.parquet(found)
+        else:
+            session.createDataFrame([], FOUND).write.parquet(found)
+        # A row per file that has rows.
+        taken = session.read.schema(FOUND).parquet(found)
+        files = [as_path(r["file"]) for r in taken.select("file").collect()]
+        headers = taken.select("file", "header").where(F.col("header").isNotNull())
         moved, orders = header_orders(session, headers, names, options)
-        if moved is not None:
-            fresh = in_order(fresh, moved, orders, names, SOURCE)
-        fresh = fresh.select(*map(column, names))
+        if files:
+            fresh = read_lines_checked(session.read, files, names, sep, options, moved, orders)
+        else:
+            fresh = session.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
         if tokens:
             fresh = normalize_nulls(fresh, tokens)
         if profile:
             count_types(fresh).write.mode("overwrite").parquet(f"{sink}/{PROFILE}/{own}")
         transform(fresh).write.mode("overwrite").parquet(f"{sink}/{own}")
-        taken = counted.join(headers, "file", "left").select("file", "header", "rows")
         taken.write.mode("overwrite").parquet(f"{sink}/{LEDGER}/{own}")
 
     return (
-        rows.writeStream.foreachBatch(replace_batch)
+        listed.writeStream.foreachBatch(replace_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
