@@ -20,6 +20,7 @@ from washline.operators import (
     to_double,
     to_timestamp_fmt,
 )
+from washline.operators.profile import watch_types, watched_types
 from washline.plans import update_profile
 from washline.sinks import write_branches
 from washline.sources import read_csv_table
@@ -110,6 +111,59 @@ def test_stream_profile_equals_that_of_all_files(spark, tmp_path):
     assert run("c2") == profile_of(spark, folder)  # a lost checkpoint counts nothing twice
 
 
+@pytest.mark.parametrize(
+    "transform",
+    [
+        lambda df: df,
+        lambda df: df.where("a = '2'"),
+        lambda df: df.where("false"),
+        lambda df: df.limit(1),
+        lambda df: df.union(df),
+        lambda df: df.repartition(3),
+        lambda df: df.select(F.col("b").alias("c")),
+    ],
+)
+def test_stream_profile_is_that_of_the_files_whatever_is_written(spark, tmp_path, transform):
+    folder = tmp_path / "in"
+    put(folder, "one.csv", "a,b\n1,x\n2,NA\n")
+    put(folder, "two.csv", "b,a\nTrue,2.5\n,\n")
+    sink = str(tmp_path / "sink")
+    ingest_stream(
+        spark, str(folder), ["a", "b"], transform, sink, str(tmp_path / "c"), profile=True
+    ).awaitTermination()
+    assert lines(read_profile(spark, sink)) == profile_of(spark, folder)
+
+
+def test_numbers_at_the_ends_of_their_types(spark):
+    texts = {
+        "bigint": ["9223372036854775807", " -9223372036854775808\t", "\x0b12", "+0"],
+        "double": ["1.", ".5", "-1e-400", "1e308", "1" * 299 + ".", "1" * 308 + ".0", " +iNf ", "-Infinity"],
+        "boolean": ["True", "FALSE"],
+        "string": ["9223372036854775808", "9" * 400 + ".1", "1e400", "2020-01-01", "1_0", "1.5d", "", "+", " True", "infin", "é1"],
+    }
+    for wanted, given in texts.items():
+        for text in given:
+            df = spark.createDataFrame([(text,)], "x string").coalesce(1)
+            assert profile_types(df).first()["inferred"] == wanted, text
+
+
+def test_type_tests_match_few_patterns(spark):
+    """A number's kind takes two patterns at most; most texts none."""
+    plan = plan_of(count_types(spark.range(3).selectExpr("string(id) as x")))
+    assert 0 < plan.count("RLIKE") <= 2
+
+
+def test_watched_types_equal_counted_types(spark):
+    df = spark.createDataFrame(
+        [("1", "True", 1), ("2.5", None, 2), ("x", "false", 3), (None, "", 4)], "a string, `b.c` string, n int"
+    )
+    out, seen = watch_types(df)
+    assert out.columns == df.columns
+    write_out(out)
+    assert lines(watched_types(spark, seen, 4)) == lines(count_types(df))
+    assert watched_types(spark, seen, 5) is None
+
+
 # --- branches ---------------------------------------------------------------------------------
 
 

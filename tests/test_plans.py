@@ -361,12 +361,13 @@ def scans_per_job(spark, tmp_path, names, transform, **how):
     return parsed.value
 
 
-def test_a_batch_is_cleaned_once_and_kept_in_no_cache(spark, tmp_path, landing, monkeypatch):
+@pytest.mark.parametrize("profile", [False, True])
+def test_a_batch_is_cleaned_once_and_kept_in_no_cache(spark, tmp_path, landing, profile, monkeypatch):
     for i in range(3):
         landing(f"f{i}.csv", f"a,b\n{i},x\n")
     kept = []
     monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *level: kept.append(df) or df)
-    assert scans_per_job(spark, tmp_path, ["a", "b"], plain) == 3
+    assert scans_per_job(spark, tmp_path, ["a", "b"], plain, profile=profile) == 3
     assert not kept
 
 

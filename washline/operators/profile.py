@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from washline.functions import parse_bigint, parse_double, raise_if_unparsed
 from washline.functions.fixed_values import FALSE_TOKENS, TRUE_TOKENS
-from washline.functions.parsing import DECIMAL, INFINITY, WHOLE_NUMBER
+from washline.functions.parsing import DECIMAL, INFINITY
 from washline.names import column, string_columns
 
 INT, FLOAT, BOOL, TEXT = "i", "f", "b", "s"
@@ -28,12 +29,19 @@ def _kind(text: Column) -> Column:
     doubles would lose digits.
     """
     fits_bigint = text.try_cast("bigint").isNotNull()
-    fits_double = F.abs(text.try_cast("double")) < float("inf")
-    # Most texts are ruled out as numbers by their first characters, with one short match.
-    like_a_number = text.rlike(r"^\s*[+-]?[0-9.iI]")
+    # Without an exponent, only more digits than these can leave a double's range.
+    exponent = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E"))
+    fits_double = (~exponent & (F.octet_length(text) < 300)) | (F.abs(text.try_cast("double")) < float("inf"))
+    # Most texts are ruled out as numbers by their first character, and a number takes one match: a decimal
+    # without a point and an exponent is a whole number.
+    like_a_number = F.ascii(text).isin(*map(ord, "\t\n\x0b\f\r +-.0123456789iI"))
     number = (
-        F.when(text.rlike(WHOLE_NUMBER), F.when(fits_bigint, INT).otherwise(TEXT))
-        .when(text.rlike(DECIMAL), F.when(fits_double, FLOAT).otherwise(TEXT))
+        F.when(
+            text.rlike(DECIMAL),
+            F.when(~F.contains(text, F.lit(".")) & ~exponent, F.when(fits_bigint, INT).otherwise(TEXT))
+            .when(fits_double, FLOAT)
+            .otherwise(TEXT),
+        )
         .when(text.rlike(INFINITY), FLOAT)
         .otherwise(TEXT)
     )
@@ -78,6 +86,41 @@ def count_types(df: DataFrame, by: str | None = None) -> DataFrame:
     )
 
 
+def watch_types(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """`df`, and an observation of its `count_types`, taken as its rows go by; `watched_types` gives them.
+
+    Complete after the first action that evaluates every row once, such as the write of a row-by-row
+    conversion.
+    """
+    names = string_columns(df)
+    if not names:
+        raise ValueError("a profile needs at least one text column")
+    kinds = {f"__kind_{i}": _kind(column(n)) for i, n in enumerate(names)}
+    if clash := [k for k in kinds if k in df.columns]:
+        raise ValueError(f"column names used here: {clash}")
+    counts = [F.count("*").alias("rows")]
+    for i, k in enumerate(kinds):
+        counts.append(F.count(k).alias(f"n_{i}"))
+        counts.append(F.count_if(F.col(k) == INT).alias(f"n_int_{i}"))
+        counts.append(F.count_if(F.col(k).isin(INT, FLOAT)).alias(f"n_float_{i}"))
+        counts.append(F.count_if(F.col(k) == BOOL).alias(f"n_bool_{i}"))
+    seen = Observation()
+    seen.columns = names
+    return df.withColumns(kinds).observe(seen, *counts).drop(*kinds), seen
+
+
+def watched_types(spark: SparkSession, seen: Observation, rows: int) -> DataFrame | None:
+    """The counts that were watched, a row per column; None if it was not `rows` rows that went by."""
+    try:
+        found = seen.get
+    except Py4JJavaError:  # Spark left the rows out, as none of them can be in the result
+        return None
+    if found.get("rows") != rows:
+        return None
+    lines = [(n, *(found[f"{c}_{i}"] for c in COUNTS)) for i, n in enumerate(seen.columns)]
+    return spark.createDataFrame(lines, "column string, " + ", ".join(f"{c} bigint" for c in COUNTS))
+
+
 def merge_counts(counts: DataFrame) -> DataFrame:
     """Counts of parts (column, n, n_int, n_float, n_bool) added up to a row per column."""
     return counts.groupBy("column").agg(*[F.sum(c).alias(c) for c in COUNTS])

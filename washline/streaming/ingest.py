@@ -10,8 +10,8 @@ A stream writes below its sink:
     _ledger/run=<stream>/batch_id=<n>  a row per file of the batch: file, header, rows
 
 The stream itself carries the names of new files alone.  Each batch reads its files as any folder is read: once
-for their headers, once to count their rows, and once to write its rows, without a copy of them in memory
-(once more with `profile`).
+for their headers, once to count their rows, and once to write its rows, without a copy of them in memory;
+the types of a profile are counted as the rows are written.
 
 A batch counts once its ledger is written.  A repeated batch replaces its own folders.  A stream that starts
 without its checkpoint is another run: it removes what a broken run left without a ledger, and takes
@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from washline.functions.fixed_values import NA_TOKENS
 from washline.operators.missing import normalize_nulls
-from washline.operators.profile import COUNTS, count_types, infer_types, merge_counts
+from washline.operators.profile import COUNTS, count_types, infer_types, merge_counts, watch_types, watched_types
 from washline.settings import small_methods
 from washline.sources.csv import as_path, count_rows, csv_options, dedupe_header, file_headers, header_orders, read_lines_checked
 from washline.staging import remove_staged, staging_path
@@ -160,9 +160,17 @@ def ingest_stream(
             fresh = session.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
         if tokens:
             fresh = normalize_nulls(fresh, tokens)
+        if profile and files:
+            watched, seen = watch_types(fresh)
+            transform(watched).write.mode("overwrite").parquet(f"{sink}/{own}")
+            counts = watched_types(session, seen, taken.agg(F.sum("rows")).first()[0])
+            # A transform that takes rows more than once, or not all, costs a pass of its own.
+            counts = count_types(fresh) if counts is None else counts
+        else:
+            transform(fresh).write.mode("overwrite").parquet(f"{sink}/{own}")
+            counts = count_types(fresh) if profile else None
         if profile:
-            count_types(fresh).write.mode("overwrite").parquet(f"{sink}/{PROFILE}/{own}")
-        transform(fresh).write.mode("overwrite").parquet(f"{sink}/{own}")
+            counts.write.mode("overwrite").parquet(f"{sink}/{PROFILE}/{own}")
         taken.write.mode("overwrite").parquet(f"{sink}/{LEDGER}/{own}")
 
     return (
