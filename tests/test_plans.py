@@ -16,6 +16,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
 from washline.sources import read_csv_table
+from washline.sources import csv
 from washline.settings import METHOD_LIMIT, small_methods
 from washline.sinks.replace import replace_folder
 from washline.streaming import ingest_stream
@@ -388,6 +389,38 @@ def test_a_batch_without_rows(spark, tmp_path, landing):
     assert taken(spark, tmp_path) == [] and read_ledger(spark, str(tmp_path / "sink")).count() == 0
 
 
+def test_publishing_looks_at_headers_once_and_checks_rows_as_it_stores(spark, tmp_path, landing, monkeypatch):
+    landing("a.csv", 'a,b,t\n1,"x,y",p\n 2 ,"q""r",\n')
+    landing("b.csv", "t,b,a\nz,,3\n")
+    seen, parsed, out = [], [], str(tmp_path / "t")
+    for module, name, calls in ((csv, "file_headers", seen), (csv, "read_lines_checked", parsed)):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, f=real, c=calls, **how: c.append(how.get("unchecked")) or f(*a, **how))
+    publish_raw(spark, str(tmp_path / "landing"), str(tmp_path), "b", "k", publish=lambda df: write_table(df, out, index_by="a"))
+    found = [tuple(r) for r in spark.read.parquet(out).orderBy("index").select("index", "a", "b", "t").collect()]
+    assert found == [(0, 1, "x,y", "p"), (1, 2, 'q"r', None), (2, 3, None, "z")]
+    assert len(seen) == 1 and sorted(map(str, parsed)) == ["FAILFAST", "None", "PERMISSIVE"]
+
+
+@pytest.mark.parametrize(
+    "text, problem",
+    [("a,b\n1,2,3\n", "more than 2 fields"), ('a,b\n1,"x\ny"\n', "line break"), ("a,b\n1,\ufffd\n", "bytes that are no")],
+)
+def test_publishing_still_refuses_bad_rows(spark, tmp_path, landing, text, problem):
+    landing("a.csv", text)
+    with pytest.raises(PySparkException, match=problem):
+        publish_raw(spark, str(tmp_path / "landing"), str(tmp_path), "b", "k", publish=lambda df: df.count())
+    assert not (tmp_path / "b" / "k").exists()
+
+
+def test_values_with_line_ends_are_read_back_with_checks(spark, tmp_path):
+    (tmp_path / "s.csv").write_bytes(b"a,b\r\n1,x\ny,z\r\n")
+    with pytest.raises(PySparkException, match="line break inside quotes|more than 2 fields"):
+        publish_raw(
+            spark, str(tmp_path / "s.csv"), str(tmp_path), "b", "k", line_sep="\r\n", publish=lambda df: write_table(df, str(tmp_path / "t"))
+        )
+
+
 def test_writers_run_small_methods_and_leave_the_setting(spark, tmp_path):
     limits = []
     before = spark.conf.get(METHOD_LIMIT)

@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from washline.names import as_list, column
+from washline.settings import small_methods
 from washline.staging import staging_path
 
 MAX_RANGES = 10_000  # their bounds and offsets are handed to every task
 SAMPLED_PER_RANGE = 32
 INPUT_PER_RANGE = 1 << 30
-KEY, PLACE = "__key", "__place"
+KEY, PLACE = "__key", "__row_place"
+ENDS = ("tie", "file", "place")  # of a key
 
 
 def with_row_index(
@@ -62,7 +64,8 @@ def indexed_copy(
         raise ValueError(f"partitions must be between 1 and {MAX_RANGES}")
     spark = df.sparkSession
     path = staging_path(spark, "row-index")
-    df.write.parquet(f"{path}/rows")
+    with small_methods(spark):
+        df.write.parquet(f"{path}/rows")
     stored = spark.read.schema(df.schema).parquet(f"{path}/rows")
     keyed = stored.withColumn(KEY, _key(stored, order))
 
@@ -81,8 +84,12 @@ def indexed_copy(
     starts = dict(zip((r[0] for r in sizes), accumulate((r[1] for r in sizes), initial=0)))
     offsets = spark.createDataFrame([(starts,)], "starts map<int, bigint>")
 
-    place = F.row_number().over(Window.partitionBy("__range").orderBy(KEY)) - 1
-    spread = ranged.repartitionById(ranges + 1, F.col("__range"))
+    # The key's columns are the rows' own, so only what ends it is shuffled beside them.
+    ends = [F.col(f"{KEY}.{e}").alias(f"__{e}") for e in ENDS]
+    rows = ranged.select(*[column(c) for c in df.columns], "__range", *ends)
+    by = [*[column(c) for c in order], *[F.col(f"__{e}") for e in ENDS]]
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*by)) - 1
+    spread = rows.repartitionById(ranges + 1, F.col("__range"))
     indexed = spread.withColumn(PLACE, place)
     index = F.element_at(offsets.scalar(), F.col("__range")) + F.col(PLACE)
     return indexed.select(index.alias(name), *[column(c) for c in df.columns]), path

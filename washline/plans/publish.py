@@ -10,13 +10,15 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from washline.names import column
 from washline.operators.profile import apply_types, inferred_types, profile_types
 from washline.plans.store_transactions import COLUMNS, clean_store_transactions
 from washline.sinks.csv import write_object_csv
 from washline.sinks.preview import preview
-from washline.sources.csv import read_csv_table, read_object_csv
+from washline.sources.csv import FAILFAST, PERMISSIVE, csv_layout, read_csv_table, read_object_csv
 
 ROWS_PER_UNSPLITTABLE_FILE = 100_000
+LAYOUT = ("sep", "multiline", "line_sep", "encoding", "same_header")
 
 
 def store_csv(
@@ -30,15 +32,19 @@ def store_csv(
 ) -> dict[str, str]:
     """Parse the source, store its values as CSV, return the types found.
 
+    The rows are checked as they are stored; the look at their types before parses only what it needs.
+
     Columns in `keep_text` are stored as they are.  The types are decided once, here, and handed
     on: the stored values are the typed ones, so a second look would find the same.
     """
-    text = read_csv_table(spark, src, typed=False, **how)
+    layout = csv_layout(spark, src, **{k: v for k, v in how.items() if k in LAYOUT})
+    text = read_csv_table(spark, src, typed=False, layout=layout, **how)
     kept = set(keep_text)
     candidates = [c for c in text.columns if c not in kept]
     types = {c: "string" for c in text.columns}
     if candidates:
-        types |= inferred_types(profile_types(text.select(*[f"`{c}`" for c in candidates])))
+        unchecked = read_csv_table(spark, src, typed=False, unchecked=PERMISSIVE, layout=layout, **how)
+        types |= inferred_types(profile_types(unchecked.select(*map(column, candidates))))
     # Files with line breaks in quotes cannot be split, so many of them keep readers parallel.
     per_file = ROWS_PER_UNSPLITTABLE_FILE if how.get("multiline") else 0
     write_object_csv(
@@ -88,4 +94,7 @@ def publish_clean(
 
 def _stored(how: dict) -> dict:
     """How to read back what `write_object_csv` wrote."""
-    return {"line_sep": "\n", "multiline": how.get("multiline", False), "same_header": True}
+    multiline = how.get("multiline", False)
+    # Read line by line, no value holds the end of a line, so each stored line is a row of the right width.
+    one_line = not multiline and how.get("line_sep") in (None, "\n")
+    return {"line_sep": "\n", "multiline": multiline, "same_header": True, "unchecked": FAILFAST if one_line else None}

@@ -29,6 +29,7 @@ LINE = "__line"
 FILE = "__file"
 ORDER = "__order"
 END_MARK = "\x01end\x01"
+PERMISSIVE, FAILFAST = "PERMISSIVE", "FAILFAST"
 REPLACED = "\ufffd"  # what the decoder puts in the place of bytes it cannot read
 
 
@@ -215,6 +216,7 @@ def read_lines_checked(
     moved: DataFrame | None = None,
     orders: list[list[int]] | None = None,
     with_file: str | None = None,
+    unchecked: str | None = None,
 ) -> DataFrame:
     """All columns as text, with the row checks; the same for batch and stream readers.
 
@@ -224,9 +226,17 @@ def read_lines_checked(
     The schema has one more text column than the header.  That makes a row of the right width
     "malformed" to the parser, which then hands over the row's own text for the checks below;
     only a row with exactly one surplus field comes without.
+
+    With `unchecked`, a mode of Spark's parser, the rows are taken as that finds them (see `read_csv_table`).
     """
     width = len(names)
     where = path if isinstance(path, str) else f"{len(path)} files"
+    if unchecked:
+        texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        # To know a row's width, the parser has to look at all its fields.
+        pruned = str(unchecked != FAILFAST).lower()
+        plain = reader.schema(texts).options(**options).options(header="true", mode=unchecked, columnPruning=pruned).csv(path)
+        return _placed(plain, names, moved, orders, with_file)
     fields = [T.StructField(n, T.StringType()) for n in (*names, SURPLUS, LINE)]
     raw = (
         reader.schema(T.StructType(fields))
@@ -262,12 +272,17 @@ def read_lines_checked(
         )
         .otherwise(True)
     )
-    good = raw.filter(checked)
+    return _placed(raw.filter(checked), names, moved, orders, with_file)
+
+
+def _placed(
+    rows: DataFrame, names: list[str], moved: DataFrame | None, orders: list[list[int]] | None, with_file: str | None
+) -> DataFrame:
     file = F.col("_metadata.file_path")
     if moved is not None:
-        good = in_order(good.withColumn(FILE, file), moved, orders, names, FILE)
+        rows = in_order(rows.withColumn(FILE, file), moved, orders, names, FILE)
         file = F.col(FILE)
-    return good.select(*[column(n) for n in names], *([file.alias(with_file)] if with_file else []))
+    return rows.select(*[column(n) for n in names], *([file.alias(with_file)] if with_file else []))
 
 
 def in_order(
@@ -285,6 +300,34 @@ def in_order(
     return placed.select(*fields, column(file))
 
 
+#: Names of the columns, the parser's options, files with another order of columns, and these orders.
+Layout = tuple[list[str], dict[str, str], DataFrame | None, list[list[int]]]
+
+
+def csv_layout(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    multiline: bool = False,
+    line_sep: str | None = None,
+    encoding: str = "UTF-8",
+    same_header: bool = False,
+) -> Layout:
+    """What the headers of a path say; arguments as in `read_csv_table`."""
+    first_line = read_first_line(spark, path)
+    if multiline and line_sep is None:
+        # Left to itself the parser would turn line ends inside quotes into LF.
+        line_sep = "\r\n" if first_line.endswith("\r") else "\n"
+    if not multiline and first_line.count('"') % 2 == 1:
+        raise ValueError(f"line break inside quotes in the header, read with multiline=True: {path}")
+    options = csv_options(sep, multiline, line_sep, encoding)
+    names = read_header(spark, path, options)
+    moved, orders = None, []
+    if not same_header and _several_files(spark, path):
+        moved, orders = header_orders(spark, file_headers(spark, path, encoding), names, options)
+    return names, options, moved, orders
+
+
 def read_csv_table(
     spark: SparkSession,
     path: str,
@@ -298,6 +341,8 @@ def read_csv_table(
     line_sep: str | None = None,
     encoding: str = "UTF-8",
     same_header: bool = False,
+    unchecked: str | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """A headered CSV file, or a directory of files with the same columns.
 
@@ -317,19 +362,13 @@ def read_csv_table(
     same_header of all files, as their writer guarantees: spares the pass over their headers
     encoding    of the files; bytes that it cannot hold, or a replacement character in the
                 text, are an error
+    unchecked   no row checks, for files whose rows are known to be right: because `write_object_csv` wrote
+                them and no text holds a line end (FAILFAST: still, other widths are an error), or because
+                the same files are read with checks before the result is used (PERMISSIVE)
+    layout      the path's `csv_layout`, where it is read more than once
     """
-    first_line = read_first_line(spark, path)
-    if multiline and line_sep is None:
-        # Left to itself the parser would turn line ends inside quotes into LF.
-        line_sep = "\r\n" if first_line.endswith("\r") else "\n"
-    if not multiline and first_line.count('"') % 2 == 1:
-        raise ValueError(f"line break inside quotes in the header, read with multiline=True: {path}")
-    options = csv_options(sep, multiline, line_sep, encoding)
-    names = read_header(spark, path, options)
-    moved, orders = None, []
-    if not same_header and _several_files(spark, path):
-        moved, orders = header_orders(spark, file_headers(spark, path, encoding), names, options)
-    df = read_lines_checked(spark.read, path, names, sep, options, moved, orders)
+    names, options, moved, orders = layout or csv_layout(spark, path, sep, multiline, line_sep, encoding, same_header)
+    df = read_lines_checked(spark.read, path, names, sep, options, moved, orders, unchecked=unchecked)
     if columns is not None:
         wanted = list(columns)
         unknown = [c for c in wanted if c not in names]
