@@ -202,6 +202,21 @@ def test_scan_reads_texts_once_and_shuffles_no_text(spark):
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
 
+def test_scan_searches_every_text_for_few_keywords_and_copies_no_text_per_match(spark):
+    sets = sorted({r.keywords for r in license_rules.RULES})
+    first = licenses.leading(sets)
+    assert all(set(first) & set(s) for s in sets) and 2 * len(first) < len({k for s in sets for k in s})
+    plan = licenses.scan(spark.read.parquet(f"{MIDDLE}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "regexp_count" not in plan
+
+
+def test_scan_of_texts_with_marks_and_of_many_matches(spark):
+    texts = [licenses.MARK, f"{licenses.MARK}mit license{licenses.MARK} $0 MIT  License", "all rights reserved. " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(map(tuple, licenses.scan(docs).collect()))
+    assert found == [(0, 0, 0, None, None, "", "", 0.0), (1, 5, 0, None, None, "", "mit", 0.75), (2, 15000, 5000, 0, 14997, "reserved", "reserved", 0.5)]
+
+
 # --- hard negatives -----------------------------------------------------------------------------
 
 

@@ -1,10 +1,12 @@
 """License scans by ordered signature rules, in column expressions alone.
 
 1. Keywords: every rule names words that any match of it holds.  A text is searched for these as plain
-   substrings; rules without a chance are never tried, and most texts go no further.
+   substrings, first for a few that every rule has one of; rules without a chance are never tried, and
+   most texts go no further.
 2. Signatures: a text that has some rule's keywords is written as its words, each between blanks of
    its own, and the rules' regular expressions are matched against that.  What lies between matches tells
-   where they start, in words.
+   where they start, in words.  Matches are marked by one replacement and words counted by one split, as
+   functions that return all matches copy the whole text for each.
 3. Suppression: a match inside that of a rule of a lower level, or of a longer or earlier one of its
    own level, is dropped.  As a containing match begins no later, one pass over a text's matches in their order
    finds it: the farthest end so far of each level.
@@ -15,6 +17,10 @@ one row per text.
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,6 +32,9 @@ from washline.names import column
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: Stands before and after a match; it separates words, so that no `spaced` text has it.
+MARK = "\x01"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: How likely a detection of each level is wrong: powers of two, so that products are exact.
@@ -43,6 +52,11 @@ def over_spaced(pattern: str) -> str:
     return " (?:" + pattern.replace(" ", "  ") + ") "
 
 
+def words_in(text: Column) -> Column:
+    """The number of words of a text."""
+    return F.size(F.array_remove(F.split(text, WORD.replace("^", "", 1)), ""))
+
+
 def _blanks_in(text: Column) -> Column:
     """Twice the number of words in part of a spaced text."""
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(" ")))
@@ -56,6 +70,16 @@ def _has(lower: Column, keyword: str) -> Column:
     return F.contains(lower, F.lit(word)) & F.regexp_like(lower, F.lit(rf"(?<![0-9a-z\x80-\x{{10FFFF}}]){word}(?![0-9a-z\x80-\x{{10FFFF}}])"))
 
 
+def leading(sets: list[tuple[str, ...]]) -> list[str]:
+    """Few keywords of which every set has one."""
+    left, found = set(sets), []
+    while left:
+        counts = Counter(k for s in left for k in set(s))
+        found.append(min(counts, key=lambda k: (-counts[k], k)))
+        left = {s for s in left if found[-1] not in s}
+    return found
+
+
 def matches(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id") -> DataFrame:
     """row, id, n_words, rule, level, label, base, start, end (words): one row per match, and one without a rule per row of `docs`."""
     spark = docs.sparkSession
@@ -64,9 +88,13 @@ def matches(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id") -> DataF
     # Lower-casing all letters can only make more texts pass.
     own = docs.select(F.monotonically_increasing_id().alias("row"), column(id_col).alias("id"), text.alias("text")).withColumn("lower", F.lower("text"))
     single = {k: F.col(f"has{i}") for i, k in enumerate(sorted({k for s in sets for k in s}))}
-    own = own.select("row", "id", "text", *(_has(F.col("lower"), k).alias(f"has{i}") for i, k in enumerate(single)))
+    search = {k: _has(F.col("lower"), k) for k in single}
+    first = leading(sets)
+    own = own.select("row", "id", "text", "lower", *(search[k].alias(f"has{i}") for i, k in enumerate(single) if k in first))
+    own = own.withColumn("chance", reduce(or_, (single[k] for k in first), F.lit(False)))
+    own = own.select("row", "id", "text", *((single[k] if k in first else F.col("chance") & search[k]).alias(f"has{i}") for i, k in enumerate(single)))
     fits = [F.when(_all([single[k] for k in s]), F.lit(i)) for i, s in enumerate(sets)]
-    own = own.select("row", "id", F.regexp_count("text", F.lit(WORD)).alias("n_words"), "text", F.array_compact(F.array(*fits)).alias("sets"))
+    own = own.select("row", "id", words_in(F.col("text")).alias("n_words"), "text", F.array_compact(F.array(*fits)).alias("sets"))
     own = own.select("row", "id", "n_words", F.when(F.size("sets") > 0, spaced(F.col("text"))).alias("spaced"), F.array_append("sets", F.lit(-1)).alias("sets"))
     # No set is ever empty; an inner explode would be planned with a filter that repeats all these searches.
     tried = own.select("row", "id", "n_words", "spaced", F.explode_outer("sets").alias("set"))
@@ -75,10 +103,12 @@ def matches(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id") -> DataF
     table.append((-1, None, None, None, None, None))
     known = spark.createDataFrame(table, "set int, rule int, level int, label string, base boolean, pattern string")
     # The rules are a few hundred rows.
-    tried = tried.join(F.broadcast(known), "set").withColumn("found", F.regexp_extract_all("spaced", F.col("pattern"), F.lit(0)))
-    tried = tried.where(F.col("rule").isNull() | (F.size("found") > 0))
-    between = F.when(F.col("rule").isNotNull(), F.split("spaced", F.col("pattern")))
-    parts = F.transform(F.arrays_zip(between.alias("gap"), F.col("found")), lambda p: F.struct(_blanks_in(p["gap"]).alias("gap"), _blanks_in(p["found"]).alias("size")))
+    marked = F.regexp_replace("spaced", F.col("pattern"), F.lit(f"{MARK}$0{MARK}"))
+    # What lies between matches, and the matches, in turn.
+    tried = tried.join(F.broadcast(known), "set").withColumn("pieces", F.split(marked, MARK))
+    tried = tried.where(F.col("rule").isNull() | (F.size("pieces") > 1))
+    sizes = F.transform("pieces", _blanks_in)
+    parts = F.arrays_zip(F.filter(sizes, lambda _, i: i % 2 == 0).alias("gap"), F.filter(sizes, lambda _, i: i % 2 == 1).alias("size"))
     parts = F.filter(parts, lambda p: p["size"].isNotNull())
     rows = tried.select("row", "id", "n_words", "rule", "level", "label", "base", F.posexplode_outer(parts).alias("at", "part"))
     rows = rows.select(*rows.columns[:-1], F.col("part.gap").alias("gap"), F.col("part.size").alias("size"))
