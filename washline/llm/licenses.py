@@ -1,8 +1,8 @@
 """License scans by ordered signature rules, in column expressions alone.
 
 1. Keywords: every rule names words that any match of it holds.  A text is searched for these as plain
-   substrings, first for a few that every rule has one of; rules without a chance are never tried, and
-   most texts go no further.
+   substrings: first for a few that every rule has one of, then for the others of the rules whose one was
+   found.  Rules without a chance are never tried, and most texts go no further.
 2. Signatures: a text that has some rule's keywords is written as its words, each between blanks of
    its own, and the rules' regular expressions are matched against that.  What lies between matches tells
    where they start, in words.  Matches are marked by one replacement and words counted by one split, as
@@ -91,8 +91,9 @@ def matches(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id") -> DataF
     search = {k: _has(F.col("lower"), k) for k in single}
     first = leading(sets)
     own = own.select("row", "id", "text", "lower", *(search[k].alias(f"has{i}") for i, k in enumerate(single) if k in first))
-    own = own.withColumn("chance", reduce(or_, (single[k] for k in first), F.lit(False)))
-    own = own.select("row", "id", "text", *((single[k] if k in first else F.col("chance") & search[k]).alias(f"has{i}") for i, k in enumerate(single)))
+    # The others, if a set's own one of these was found.
+    rest = {k: reduce(or_, (single[x] for x in first if any(k in s and x in s for s in sets))) & search[k] for k in single if k not in first}
+    own = own.select("row", "id", "text", *(rest.get(k, single[k]).alias(f"has{i}") for i, k in enumerate(single)))
     fits = [F.when(_all([single[k] for k in s]), F.lit(i)) for i, s in enumerate(sets)]
     own = own.select("row", "id", words_in(F.col("text")).alias("n_words"), "text", F.array_compact(F.array(*fits)).alias("sets"))
     own = own.select("row", "id", "n_words", F.when(F.size("sets") > 0, spaced(F.col("text"))).alias("spaced"), F.array_append("sets", F.lit(-1)).alias("sets"))
