@@ -1,6 +1,9 @@
 """Whole jobs: cleaning, publishing, streaming, table writing, settings."""
 
 import datetime as dt
+import glob
+import gzip
+import os
 from urllib.parse import unquote
 
 import pytest
@@ -9,11 +12,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from washline import staging
+from washline.catalog import queries
 from washline.catalog.dirty import dirty_transactions
 from washline.functions.fixed_values import NA_TOKENS
 from washline.plans import clean_store_transactions, publish_clean, publish_raw
 from pyspark.sql.readwriter import DataFrameWriter
 
+from washline.sinks import csv as sinks_csv
 from washline.sinks import preview, write_object_csv, write_table, write_table_jdbc
 from washline.sources import read_csv_table
 from washline.sources import csv
@@ -129,6 +134,36 @@ def test_publish_clean_equals_cleaning(spark, tmp_path):
     assert wanted.exceptAll(published[0]).count() == 0
 
 
+def test_publish_clean_with_compressed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks_csv, "ROWS_PER_UNSPLITTABLE_FILE", 500)
+    dirty = dirty_transactions(spark, SMALL)
+    source = write_object_csv(dirty, str(tmp_path), "source", "dirty.csv", compression="gzip")
+    published = []
+    head = publish_clean(spark, source, str(tmp_path), "b", "k", publish=published.append, compression="gzip")
+    wanted = clean_store_transactions(dirty).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+    assert published[0].exceptAll(wanted).count() == 0 and published[0].count() == wanted.count()
+    assert head.count() == 5
+    # Readers cannot split such files, so there are many.
+    assert len(list((tmp_path / "b/k").glob("part-*.csv.gz"))) >= 12 and not list((tmp_path / "b/k").glob("part-*.csv"))
+    empty = write_object_csv(dirty.where("false"), str(tmp_path), "source", "empty.csv", compression="gzip")
+    assert read_csv_table(spark, empty).columns == dirty.columns and read_csv_table(spark, empty).count() == 0
+
+
+def test_the_published_query_keeps_little_on_disk(spark):
+    root = staging.staging_root(spark) + "/washline"
+    before = set(glob.glob(f"{root}/*"))
+    table = queries()["publish_clean"](spark, SMALL)
+    assert table.count() == 6000
+    kept = set(glob.glob(f"{root}/*")) - before
+    assert sorted(p.rsplit("/", 1)[1].split("-")[0] for p in kept) == ["clean", "objects"]
+    files = [f for p in kept for f in glob.glob(f"{p}/**/part-*", recursive=True)]
+    stored = [f for f in files if "/raw/dirty.csv/" in f]
+    plain = sum(len(gzip.decompress(open(f, "rb").read())) for f in stored)
+    assert plain > 6000 * 90 and sum(map(os.path.getsize, stored)) < plain / 2
+    # The source was read for the last time before the table was written from its stored copy.
+    assert not [f for f in files if "/source/" in f]
+
+
 def test_write_table_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)

@@ -7,6 +7,7 @@ from helpers import SMALL, plan_of
 from pyspark.sql import functions as F
 
 from washline.operators import row_index, with_row_index
+from washline.settings import FREE_SHUFFLES
 from washline.sinks import write_table
 
 
@@ -144,3 +145,57 @@ def test_write_table_leaves_no_stored_copy(spark, tmp_path):
     before = set(glob.glob(f"{root}/*"))
     out = write_table(spark.range(100), str(tmp_path / "t"), index_by="id")
     assert out.where("index = id").count() == 100 and set(glob.glob(f"{root}/*")) == before
+
+
+def test_large_tables_are_written_in_passes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(row_index, "ROWS_PER_PASS", 5000)
+    n, target = 30_000, str(tmp_path / "t")
+    root = row_index.staging_path(spark, "x").rsplit("/", 1)[0]
+    before = set(glob.glob(f"{root}/*"))
+    df = spark.range(0, n, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 101 > 0, F.col("id")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("a b.c"),
+        F.create_map(F.lit("m"), F.col("id")).alias("m"),
+    )
+    stored, rows = [], []
+
+    def add(part):
+        files = glob.glob(f"{root}/row-index-*/*/**/*.parquet", recursive=True)
+        stored.append(sum(row_index.staged_size(spark, f) for f in set(files) if not any(f.startswith(b) for b in before)))
+        part.write.mode("append").parquet(target)
+        rows.append(spark.read.parquet(target).count())
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+
+    row_index.write_indexed(df, "k", add)
+    out = spark.read.parquet(target)
+    check_dense(out, n, ["k"])
+    assert sorted(map(str, out.select("k", "`a b.c`", "m").collect())) == sorted(map(str, df.collect()))
+    # A part at a time is written, and what was written is not stored any more.
+    assert len(rows) == 7 and max(b - a for a, b in zip([0, *rows], rows)) < n / 4
+    assert stored == sorted(stored, reverse=True) and stored[-1] < stored[0] / 3
+    assert spark.conf.get(FREE_SHUFFLES) == "false" and set(glob.glob(f"{root}/*")) == before
+
+
+def test_passes_give_the_same_numbers(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 20_000, 1, 9).select((F.col("id") % 5).alias("k"), F.hash("id").alias("v"), (F.col("id") % 2).alias("w"))
+    whole = write_table(df, str(tmp_path / "whole"), index_by=["k", "w", "v"])
+    monkeypatch.setattr(row_index, "INPUT_PER_PASS", 1000)
+    parts = write_table(df, str(tmp_path / "parts"), index_by=["k", "w", "v"], compression="zstd")
+    assert parts.schema == whole.schema and whole.exceptAll(parts).count() == 0 and parts.count() == 20_000
+    assert glob.glob(f"{tmp_path}/parts/*.zstd.parquet") and not glob.glob(f"{tmp_path}/parts/*.snappy.parquet")
+
+
+def test_a_failed_pass_leaves_no_stored_copy(spark, monkeypatch):
+    monkeypatch.setattr(row_index, "ROWS_PER_PASS", 100)
+    root = row_index.staging_path(spark, "x").rsplit("/", 1)[0]
+    before = set(glob.glob(f"{root}/*"))
+    parts = []
+
+    def add(part):
+        if parts:
+            raise OSError("full")
+        parts.append(part)
+
+    with pytest.raises(OSError, match="full"):
+        row_index.write_indexed(spark.range(1000), "id", add)
+    assert set(glob.glob(f"{root}/*")) == before and spark.conf.get(FREE_SHUFFLES) == "false"

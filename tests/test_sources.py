@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from washline.operators import apply_types, normalize_nulls, profile_types
 from washline.plans import land_and_verify, verify_landing
 from washline.sinks import write_object_csv
+from washline.sources import csv
 from washline.sources.csv import file_headers
 from washline.sources.files import _url_like, landed_chunks, restore_files
 from washline.sources import (
@@ -327,6 +328,20 @@ def test_files_with_other_columns_are_refused(spark, csv_folder, other):
         read_csv_table(spark, path, typed=False)
 
 
+def test_equal_headers_are_known_without_sorting_lines(spark, csv_folder, monkeypatch):
+    more = {f"f{i}": f"id,price\n{i},id\nid,price\n" for i in range(150)}
+    path = csv_folder(a="id,price\n" + "1,10\n" * 5000, b="\n \nid,price\n2,20\n", empty="", **more)
+    asked = []
+    monkeypatch.setattr(csv, "file_headers", lambda *a: asked.append(a) or file_headers(*a))
+    df = read_csv_table(spark, path, typed=False)
+    assert df.count() == 5000 + 1 + 300 and df.where("price = 'id'").count() == 150 and not asked
+    # A file without a header may hold the header's text further below.
+    csv_folder(late="9,90\nid,price\n")
+    with pytest.raises(ValueError, match="header of .*late.csv is"):
+        read_csv_table(spark, path, typed=False)
+    assert asked
+
+
 def test_header_is_read_from_the_first_block_of_a_file(spark, csv_folder):
     """Of a file in several blocks, whichever task comes first."""
     lines = "".join(f"{i},p{i}\n" for i in range(20_000))

@@ -57,7 +57,7 @@ from washline.sources import (
     read_object_csv,
 )
 from washline.sources.files import land_files, landed_chunks, restore_files
-from washline.staging import staging_path
+from washline.staging import remove_staged, staging_path
 from washline.streaming import ingest_stream, read_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -398,18 +398,16 @@ def raw_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, bucket = _bucket(spark)
-    source = write_object_csv(dirty_transactions(spark, sf_dir), root, bucket, "source/dirty.csv")
+    dirty = dirty_transactions(spark, sf_dir)
+    source = write_object_csv(dirty, root, bucket, "source/dirty.csv", compression="gzip")
     target = staging_path(spark, "clean-table")
-    publish_clean(
-        spark,
-        source,
-        root,
-        bucket,
-        "raw/dirty.csv",
-        publish=lambda df: write_table(
-            df, target, index_by=["l_orderkey", "l_linenumber", "SP", "MRP", "STORE_ID", "Date"]
-        ),
-    )
+
+    def publish(df: DataFrame) -> None:
+        remove_staged(spark, source)
+        order = ["l_orderkey", "l_linenumber", "SP", "MRP", "STORE_ID", "Date"]
+        write_table(df, target, index_by=order, compression="zstd")
+
+    publish_clean(spark, source, root, bucket, "raw/dirty.csv", publish=publish, compression="gzip")
     return spark.read.parquet(target)
 
 

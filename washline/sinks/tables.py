@@ -8,33 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from washline.operators.row_index import indexed_copy
+from washline.operators.row_index import write_indexed
 from washline.sinks.replace import replace_folder
 from washline.staging import remove_staged, staging_path
 
 
-def _indexed(
-    df: DataFrame, index_by: str | Iterable[str] | None
-) -> tuple[DataFrame, str | None]:
-    return (df, None) if index_by is None else indexed_copy(df, index_by)
+def _write_rows(df: DataFrame, path: str, index_by: str | Iterable[str] | None, **options) -> None:
+    """Write the rows, with their index, to a new folder."""
+
+    def add(rows: DataFrame) -> None:
+        rows.write.mode("append").options(**options).parquet(path)
+
+    add(df) if index_by is None else write_indexed(df, index_by, add)
 
 
 def write_table(
-    df: DataFrame, path: str, index_by: str | Iterable[str] | None = None
+    df: DataFrame, path: str, index_by: str | Iterable[str] | None = None, compression: str | None = None
 ) -> DataFrame:
     """Replace the Parquet table at `path`; with `index_by` a leading `index` column 0..n-1.
 
     What was there stays until the new table is complete, so a failed write keeps it, and `df` may
-    be computed from it.
+    be computed from it.  `compression` is the session's unless given.
     """
     spark = df.sparkSession
-    out, copy = _indexed(df, index_by)
-    try:
-        replace_folder(spark, path, lambda new: out.write.parquet(new))
-    finally:
-        if copy:
-            remove_staged(spark, copy)
-    return spark.read.schema(out.schema).parquet(path)
+    options = {"compression": compression} if compression else {}
+    replace_folder(spark, path, lambda new: _write_rows(df, new, index_by, **options))
+    index = [] if index_by is None else [T.StructField("index", T.LongType())]
+    return spark.read.schema(T.StructType([*index, *df.schema.fields])).parquet(path)
 
 
 def write_branches(routed: DataFrame, path: str, branches: Iterable[str]) -> dict[str, DataFrame]:
@@ -92,9 +92,8 @@ def write_table_jdbc(
     """
     spark = df.sparkSession
     path = staging_path(spark, "jdbc")
-    indexed, copy = _indexed(df, index_by)
     try:
-        indexed.write.parquet(path)
+        _write_rows(df, path, index_by)
         out = spark.read.parquet(path)
         (
             out.write.mode("overwrite")
@@ -103,5 +102,4 @@ def write_table_jdbc(
             .jdbc(url, table, properties=dict(properties))
         )
     finally:
-        for stored in filter(None, (path, copy)):
-            remove_staged(spark, stored)
+        remove_staged(spark, path)

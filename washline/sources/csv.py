@@ -101,9 +101,16 @@ def file_headers(
 ) -> DataFrame:
     """file and header: each file's first line that is not blank.
 
-    One pass over the files as text and one aggregation with a row per file.  Files without such
-    a line have no row.
+    One pass over the files as text and one aggregation with a row per file, for which tasks sort the lines by
+    file.  Files without such a line have no row.
     """
+    found = _numbered_lines(spark, paths).groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    header = F.rtrim(F.decode(F.col("header").cast("binary"), encoding), F.lit("\r"))
+    return found.select("file", header.alias("header"))
+
+
+def _numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """file, line, place: the lines that are not blank; the least place is of the file's first."""
     text = spark.read.option("lineSep", "\n").text(paths)
     rows = text.select(
         F.col("_metadata.file_path").alias("file"),
@@ -112,10 +119,18 @@ def file_headers(
     ).where(F.btrim("line", F.lit(" \t\r")) != "")
     # Within a task rows keep their order; the first block of a file is read by one task.
     place = F.when(F.col("block") == 0, F.monotonically_increasing_id())
-    numbered = rows.withColumn("place", place)
-    found = numbered.groupBy("file").agg(F.min_by("line", "place").alias("header"))
-    header = F.rtrim(F.decode(F.col("header").cast("binary"), encoding), F.lit("\r"))
-    return found.select("file", header.alias("header"))
+    return rows.withColumn("place", place)
+
+
+def all_begin_with(spark: SparkSession, paths: str | list[str], line: str) -> bool:
+    """Whether this is the first line that is not blank in every file that has one.
+
+    One pass over the files as text; only numbers are aggregated, so no line is sorted or spilled.
+    """
+    place = F.col("place")
+    same = F.min(F.when(F.col("line") == line, place)) == F.min(place)
+    files = _numbered_lines(spark, paths).groupBy("file").agg(F.coalesce(same, F.lit(False)).alias("same"))
+    return files.where(~F.col("same")).isEmpty()
 
 
 def count_rows(spark: SparkSession, paths: str | list[str], options: Mapping[str, str]) -> DataFrame:
@@ -324,7 +339,9 @@ def csv_layout(
     names = read_header(spark, path, options)
     moved, orders = None, []
     if not same_header and _several_files(spark, path):
-        moved, orders = header_orders(spark, file_headers(spark, path, encoding), names, options)
+        # Only files with different first lines, or headers of several lines, need a look at each header.
+        if first_line.count('"') % 2 == 1 or not all_begin_with(spark, path, first_line):
+            moved, orders = header_orders(spark, file_headers(spark, path, encoding), names, options)
     return names, options, moved, orders
 
 
@@ -347,7 +364,7 @@ def read_csv_table(
     """A headered CSV file, or a directory of files with the same columns.
 
     The first file's header names the columns.  Each other file's own header is read as well, in one
-    more pass over the files as text: its columns may stand in another order, but a file with other
+    more pass over the files as text, or two if headers differ: its columns may stand in another order, but a file with other
     names, fewer or more, or without a header is an error.
 
     columns     keep only these, in file order; an unknown name is an error

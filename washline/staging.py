@@ -34,7 +34,26 @@ def staging_path(spark: SparkSession, purpose: str) -> str:
     return f"{staging_root(spark)}/washline/{purpose}-{uuid.uuid4().hex}"
 
 
-def remove_staged(spark: SparkSession, path: str) -> None:
-    """Delete a staged table that nothing will read again."""
+def _found(spark: SparkSession, path: str):
+    """The path and its file system."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staged table, or a file of one, that nothing will read again."""
+    folder, system = _found(spark, path)
+    system.delete(folder, True)
+
+
+def staged_size(spark: SparkSession, path: str) -> int:
+    """Bytes of a staged table."""
+    folder, system = _found(spark, path)
+    return system.getContentSummary(folder).getLength()
+
+
+def staged_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of a staged table's files; there are as many as tasks wrote it."""
+    folder, system = _found(spark, path)
+    names = (status.getPath().getName() for status in system.listStatus(folder))
+    return sorted(f"{path}/{name}" for name in names if not name.startswith(("_", ".")))
