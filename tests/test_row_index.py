@@ -7,7 +7,7 @@ from helpers import SMALL, plan_of
 from pyspark.sql import functions as F
 
 from washline.operators import row_index, with_row_index
-from washline.settings import FREE_SHUFFLES
+from washline.settings import FREE_SHUFFLES, OPEN_FILES
 from washline.sinks import write_table
 
 
@@ -199,3 +199,18 @@ def test_a_failed_pass_leaves_no_stored_copy(spark, monkeypatch):
     with pytest.raises(OSError, match="full"):
         row_index.write_indexed(spark.range(1000), "id", add)
     assert set(glob.glob(f"{root}/*")) == before and spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_stored_rows_are_split_without_a_sort(spark, monkeypatch):
+    """Tasks would spill what they sort, and Spark begins to sort with the last open file of its limit."""
+    monkeypatch.setattr(row_index, "ROWS_PER_PASS", 100)
+    seen, tied = [], row_index._ranged
+    monkeypatch.setattr(row_index, "_ranged", lambda *a: seen.append(spark.conf.get(OPEN_FILES)) or tied(*a))
+    opened = row_index.open_files
+    monkeypatch.setattr(row_index, "open_files", lambda s, n: seen.append(n) or opened(s, n))
+    parts = []
+    row_index.write_indexed(spark.range(0, 700, 1, 1), "id", lambda part: parts.append(part.count()))
+    assert seen == ["0", 8] and len(parts) == 8 and sum(parts) == 700
+    with opened(spark, 8):
+        assert spark.conf.get(OPEN_FILES) == "9"
+    assert spark.conf.get(OPEN_FILES) == "0"

@@ -149,7 +149,7 @@ def _split(df: DataFrame, path: str, order: list[str], ranges: int, passes: int)
     """Move the stored rows, with their ranges, into a folder per group of ranges."""
     spark, files = df.sparkSession, staged_files(df.sparkSession, f"{path}/rows")
     # Each step has files for all cores.
-    steps = min(MAX_PASSES, max(1, len(files) // (2 * spark.sparkContext.defaultParallelism)))
+    steps = min(MAX_PASSES, max(1, len(files) // spark.sparkContext.defaultParallelism))
     group = _group(F.col("__range"), ranges, passes).alias("__group")
     for i in range(steps):
         some = files[i::steps]

@@ -46,7 +46,8 @@ def freed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
 
 def open_files(spark: SparkSession, number: int) -> AbstractContextManager[None]:
     """Within it, a task that writes up to so many folders keeps a file open in each, and does not sort its rows."""
-    return _set(spark, OPEN_FILES, str(number))
+    # Spark begins to sort with the last file of its limit.
+    return _set(spark, OPEN_FILES, str(number + 1))
 
 
 @contextmanager
