@@ -140,9 +140,10 @@ def _starts(ranged: DataFrame) -> dict[int, int]:
 
 
 def _group(number, ranges: int, passes: int):
-    """The group of a range, or of a column of them."""
-    whole = number * passes / (ranges + 1)
-    return F.floor(whole).cast("int") if isinstance(number, Column) else int(whole)
+    """The group of a range, or of a column of them; there can be a few more ranges than asked for."""
+    if isinstance(number, Column):
+        return F.least(F.floor(number * passes / (ranges + 1)), F.lit(passes - 1)).cast("int")
+    return min(int(number * passes / (ranges + 1)), passes - 1)
 
 
 def _split(df: DataFrame, path: str, order: list[str], ranges: int, passes: int) -> None:
